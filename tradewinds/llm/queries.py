@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewinds.llm import bpe, chat, exact_dedup, license_scan, mixing, nearest, personal, quality
+from tradewinds.llm import bpe, chat, exact_dedup, jaccard_join, license_scan, mixing, nearest, personal, quality
 
 #: The rank file of the contract.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -60,4 +60,9 @@ def op9_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.personal_digests(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_quality, op4_license_scan, op5_nearest, op6_bpe, op7_chat, op8_exact_dedup, op9_personal)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by four-word shingles at 85 in 100."""
+    return jaccard_join.jaccard_join(_table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_quality, op4_license_scan, op5_nearest, op6_bpe, op7_chat, op8_exact_dedup, op9_personal, op10_jaccard_join)}

@@ -25,15 +25,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again.
+def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read again, as ``files`` files if given.
 
     This cuts the lineage: a lost executor costs a re-read, not a recomputation, and Catalyst
     knows the size of the table, so that it broadcasts it only below its threshold.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.repartition(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

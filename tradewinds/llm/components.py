@@ -28,13 +28,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select(F.col("of").alias("u"), F.col("low").alias("v"))).where("u <> v").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node, component``: the smallest node that each node of ``u, v`` edges can reach, where it is another."""
-    state = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star")
+def components(edges: DataFrame, files: int | None = None) -> DataFrame:
+    """``node, component``: the smallest node that each node of ``u, v`` edges can reach, where it is another.
+
+    Each round is written as ``files`` files.
+    """
+    state = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star", files)
     mark = None
     while True:
         now = tuple(state.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == mark or not now[0]:
             return state.select(F.col("u").alias("node"), F.col("v").alias("component"))
         mark = now
-        state = written(_small_star(_large_star(state)), "star")
+        state = written(_small_star(_large_star(state)), "star", files)

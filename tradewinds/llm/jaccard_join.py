@@ -15,9 +15,10 @@ what a cost model finds cheapest for the band.
 Equal sets are combined within a batch, and of the sets of a batch with one signature only the
 smallest id goes on, so a group of copies that holds a third of all rows reaches a bucket as one
 entry a batch. In a bucket the smallest id stands for all: pairs to it are verified, by the texts'
-own n-grams, and linked; documents that are already connected need no other pair. Groups that
-still fall into several components have all their pairs across components verified. So no link
-is lost, and no group of copies is expanded into pairs.
+own n-grams, and linked; documents that are already connected need no other pair. Components that
+still meet in a group are gathered, dealt into blocks of bounded size, and every two blocks are
+counted against each other in one matrix product; only the components found go on. So no link is
+lost, and no group is expanded into rows of pairs.
 
 Nulls and ties: a null or blank text has an empty set and no link; its component is itself. Rows
 with a null doc_id take no part in links and have a null component. Rows that repeat a doc_id are
@@ -45,6 +46,8 @@ U = np.uint64
 BAND = 1.5
 #: Members of a star that one task verifies.
 STAR = 400
+#: Documents and n-grams of a block that is counted at once, and columns of a product.
+BLOCK_IDS, BLOCK_ITEMS, COLUMNS = 1024, 1_500_000, 2048
 #: Text that is hashed at a time, and text to a bucket.
 SLICE_BYTES, BUCKET_BYTES = 1 << 20, 6_000_000
 _BASE = 0x9E3779B97F4A7C15
@@ -366,6 +369,74 @@ def verified(pairs: DataFrame, texts: DataFrame, plan: Plan, n: int, parts: int)
     return by_key(rows, parts, ["a", "piece"], ["role"], work, "a long, b long").distinct()
 
 
+def connected(ids: np.ndarray, sets: list[np.ndarray], plan: Plan) -> np.ndarray:
+    """For each id the smallest that links within the block reach, by exact counts of shared items."""
+    n = len(ids)
+    items, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    place = np.cumsum(times > 1) - 1
+    shared = times[column] > 1
+    owner, column = owner[shared], place[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    counts = np.zeros((n, n), np.float32)  # exact: far below 2**24
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        x, y = np.searchsorted(column, [low, low + COLUMNS])
+        some = np.zeros((n, COLUMNS), np.float32)
+        some[owner[x:y], column[x:y] - low] = 1
+        counts += some @ some.T
+    size = np.array([len(x) for x in sets], np.int64)
+    counts = counts.astype(np.int64)
+    linked = counts * plan.den >= plan.num * (size[:, None] + size[None, :] - counts)
+    label = np.full(n, -1)
+    for i in np.argsort(ids, kind="stable").tolist():
+        if label[i] < 0:
+            label[i], edge = i, [i]
+            while edge:
+                new = np.flatnonzero(linked[edge].any(0) & (label < 0))
+                label[new] = i
+                edge = new.tolist()
+    return ids[label]
+
+
+def unsettled(groups: DataFrame, named: DataFrame, files: int) -> DataFrame:
+    """``id, size, cluster``: members of components that meet in a group and have pairs that weren't tried.
+
+    ``groups`` has ``members``; ``named`` has ``id, label, size`` of all members of groups. Two
+    documents without links that meet only each other were tried as a pair.
+    """
+    alone = named.groupBy("label").agg((F.count("*") == 1).alias("alone"))
+    tagged = groups.distinct().select(F.xxhash64("members").alias("group"), F.size("members").alias("held"), F.explode("members").alias("id"))
+    tagged = tagged.join(named.select("id", "label").join(alone, "label"), "id").select("group", "held", "label", "alone")
+    meet = tagged.groupBy("group", "held").agg(F.min("label").alias("v"), F.max("label").alias("most"), F.bool_and("alone").alias("alone"))
+    meet = meet.where("v <> most AND NOT (held = 2 AND alone)").select("group", "v")
+    edges = written(tagged.join(meet, "group").select(F.col("label").alias("u"), "v").distinct(), "join-meet", files)
+    clusters = components(edges, files)
+    of = edges.select(F.explode(F.array("u", "v")).alias("label")).distinct().join(clusters, F.col("label") == F.col("node"), "left")
+    return named.join(of.select("label", F.coalesce("component", "label").alias("cluster")), "label").select("id", "size", "cluster")
+
+
+def settled(open_: DataFrame, texts: DataFrame, plan: Plan, n: int, parts: int, files: int) -> DataFrame:
+    """``u, v``: links that connect what ``id, size, cluster`` rows hold, all pairs in a cluster counted."""
+    blocks = open_.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_IDS, F.sum("size") / BLOCK_ITEMS)).cast("int").alias("blocks"))
+    placed = open_.join(blocks, "cluster").select("id", "cluster", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "blocks")
+    both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
+    rows = placed.join(texts, F.col("id") == F.col("doc_id")).select("cluster", F.explode(both).alias("at"), "id", "text").select("cluster", "at.i", "at.j", "id", "text")
+
+    def work(key: tuple, pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, sets = [], []
+        for b in pieces:
+            ids += b.column("id").to_pylist()
+            sets += sets_of(b.column("text").to_pylist(), n)
+        ids = np.array(ids, np.int64)
+        first = connected(ids, sets, plan)
+        some = first != ids
+        if some.any():
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some], pa.int64()), pa.array(first[some], pa.int64())], ["u", "v"])
+
+    return by_key(rows, parts, ["cluster", "i", "j"], ["id"], work, "u long, v long")
+
+
 def jaccard_join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row: n-gram sets with similarity ``num/den`` or more are linked.
 
@@ -374,34 +445,24 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
     plan = Plan(num, den)
     total = text_bytes(docs)
     parts = parts_for(total, 2 * BUCKET_BYTES)
-    buckets = parts * 2
+    buckets, files = parts * 2, max(2, parts // 12)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = rows.mapInArrow(_signed(plan, n, buckets), _SCHEMA)
-    met = written(by_key(signed, parts, ["bucket"], ["kind"], _met(buckets), _SCHEMA), "join-met")
-    fits = f"least(na, nb) * {den} >= greatest(na, nb) * {num}"
-    pairs = met.where(F.col("kind") == PAIR).select("a", "b", "na", "nb").distinct()
-    pairs = written(pairs, "join-pairs")
+    met = written(by_key(signed, parts, ["bucket"], ["kind"], _met(buckets), _SCHEMA), "join-met", 2 * files)
+    pairs = written(met.where(F.col("kind") == PAIR).select("a", "b", "na", "nb").distinct(), "join-pairs", files)
     known = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    texts = written(rows.join(known, F.col("doc_id") == F.col("_id"), "left_semi"), "join-texts")
-    tried = pairs.where(fits).select("a", "b")
-    links = written(verified(tried, texts, plan, n, parts), "join-links")
-    labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-
-    # groups that still fall into several components: every pair across them that wasn't tried
-    members = met.where(F.col("kind") == GROUP).select(F.col("a").alias("signature"), F.explode("members").alias("id"))
-    named = members.join(labels, F.col("id") == F.col("node"), "left").select("signature", "id", F.coalesce("component", "id").alias("label"))
-    split = named.groupBy("signature").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("held")).where("least <> most AND held > 2").select("signature")
-    open_ = written(named.join(split, "signature", "left_semi").distinct(), "join-open")
+    texts = written(rows.join(known, F.col("doc_id") == F.col("_id"), "left_semi"), "join-texts", 2 * files)
+    tried = pairs.where(f"least(na, nb) * {den} >= greatest(na, nb) * {num}").select("a", "b")
+    links = written(verified(tried, texts, plan, n, parts).select(F.col("a").alias("u"), F.col("b").alias("v")), "join-links", files)
+    labels = components(links, files)
+
+    ends = F.array(*(F.struct(F.col(i).alias("id"), F.col(z).alias("size")) for i, z in (("a", "na"), ("b", "nb"))))
+    sizes = pairs.select(F.explode(ends).alias("x")).groupBy("x.id").agg(F.max("x.size").alias("size"))
+    named = written(sizes.join(labels, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("label"), "size"), "join-named", files)
+    open_ = written(unsettled(met.where(F.col("kind") == GROUP).select("members"), named, files), "join-open", files)
     if not open_.isEmpty():
-        sizes = pairs.select(F.col("a").alias("of"), F.col("na").alias("size")).unionByName(pairs.select(F.col("b").alias("of"), F.col("nb").alias("size"))).distinct()
-        open_ = written(open_.join(sizes, F.col("id") == F.col("of")).select("signature", "id", "label", "size"), "join-open")
-        left, right = (open_.select("signature", *(F.col(c).alias(f"{c}_{k}") for c in ("id", "label", "size"))) for k in ("a", "b"))
-        more = left.join(right, "signature").where(f"id_a < id_b AND label_a <> label_b AND least(size_a, size_b) * {den} >= greatest(size_a, size_b) * {num}")
-        more = more.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct().join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti")
-        more = written(more, "join-more")
-        if not more.isEmpty():
-            links = links.unionByName(verified(more, texts, plan, n, parts))
-            labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        more = written(settled(open_, texts, plan, n, parts, files), "join-more", files)
+        labels = components(links.unionByName(more), files)
     every = met.where(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc_id"), F.col("b").alias("first"), F.col("na").alias("n_shingles"))
     joined = every.join(labels, F.col("first") == F.col("node"), "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("component", "first").alias("component_id"))

@@ -451,7 +451,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
     met = written(by_key(signed, parts, ["bucket"], ["kind"], _met(buckets), _SCHEMA), "join-met", 2 * files)
     pairs = written(met.where(F.col("kind") == PAIR).select("a", "b", "na", "nb").distinct(), "join-pairs", files)
     known = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    texts = written(rows.join(known, F.col("doc_id") == F.col("_id"), "left_semi"), "join-texts", 2 * files)
+    texts = written(rows.join(known.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi"), "join-texts", 2 * files)
     tried = pairs.where(f"least(na, nb) * {den} >= greatest(na, nb) * {num}").select("a", "b")
     links = written(verified(tried, texts, plan, n, parts).select(F.col("a").alias("u"), F.col("b").alias("v")), "join-links", files)
     labels = components(links, files)
@@ -471,4 +471,4 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
 def kept_documents(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of ``docs`` that are first in their component, with all their columns."""
     gone = jaccard_join(docs.select("doc_id", "text"), n, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(written(gone, "join-gone"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(written(gone, "join-gone").hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -103,7 +103,7 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     marks = exact_dedup(docs.select("doc_id", "text")).groupBy("doc_id").agg(F.max("kept").alias("any"), F.count("*").alias("n"))
     marks = written(marks.where("NOT any OR n > 1").withColumnRenamed("doc_id", "_of"), "dedup-marks")
     same = F.col("doc_id").eqNullSafe(F.col("_of"))
-    alone = docs.join(marks, same, "left_anti")
+    alone = docs.join(marks.hint("merge"), same, "left_anti")
     repeated = marks.where("any")
     if repeated.isEmpty():
         return alone

@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 
 from tradewinds.llm._shared import by_key, parts_for, text_bytes, written
 from tradewinds.llm.components import components
+from tradewinds.llm.hashing import BASE, U, mix, prefix_sums
 
-U = np.uint64
 #: Width of a band of sizes.
 BAND = 1.5
 #: Members of a star that one task verifies.
@@ -50,23 +50,6 @@ STAR = 400
 BLOCK_IDS, BLOCK_ITEMS, COLUMNS = 1024, 1_500_000, 2048
 #: Text that is hashed at a time, and text to a bucket.
 SLICE_BYTES, BUCKET_BYTES = 1 << 20, 6_000_000
-_BASE = 0x9E3779B97F4A7C15
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads all bits."""
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
-
-
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2**64."""
-    inverse = pow(_BASE, -1, 1 << 64)
-    up, down = np.full(n, _BASE, U), np.full(n, inverse, U)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
 
 
 def _lower() -> np.ndarray:
@@ -97,9 +80,7 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         edge = np.diff(np.r_[False, word, False].astype(np.int8))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         if len(starts):
-            up, down = _powers(1 << int(len(piece)).bit_length())
-            sums = np.zeros(len(piece) + 1, U)
-            np.cumsum((piece.astype(U) + U(1)) * up[: len(piece)], out=sums[1:])
+            sums, down = prefix_sums(piece)
             hashes.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93)))
             places.append(starts + at)
         at = end
@@ -110,7 +91,7 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @cache
 def _odd(n: int) -> np.ndarray:
-    return mix(np.arange(1, n + 1, dtype=U) * U(_BASE)) | U(1)
+    return mix(np.arange(1, n + 1, dtype=U) * U(BASE)) | U(1)
 
 
 def set_of(words: np.ndarray, n: int) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewinds.llm import bpe, chat, exact_dedup, jaccard_join, license_scan, mixing, nearest, personal, quality
+from tradewinds.llm import bpe, chat, exact_dedup, jaccard_join, license_scan, mixing, nearest, personal, quality, suffix_dedup
 
 #: The rank file of the contract.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +27,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without passages that smaller documents have."""
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), texts=False).drop("kept")
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of each document."""
     return license_scan.license_scan(_table(spark, sf_dir, "documents"))
@@ -65,4 +70,4 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(_table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_quality, op4_license_scan, op5_nearest, op6_bpe, op7_chat, op8_exact_dedup, op9_personal, op10_jaccard_join)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_quality, op3_suffix_dedup, op4_license_scan, op5_nearest, op6_bpe, op7_chat, op8_exact_dedup, op9_personal, op10_jaccard_join)}

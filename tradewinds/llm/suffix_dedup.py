@@ -47,7 +47,9 @@ SIDE = LENGTH - GRAM
 WIDE = LENGTH + SIDE
 BLOCK_BYTES, BUCKET_BYTES = 1 << 20, 8_000_000
 #: Bytes whose grams are hashed at a time, and contexts that are cut out at a time.
-SLICE, CUT = 1 << 20, 1 << 16
+SLICE, CUT = 1 << 16, 1 << 16
+#: Contexts that a bucket sorts at a time.
+CONTEXTS = 1 << 14
 NO_ID = np.iinfo(np.int64).max
 PAD = 255  # in no UTF-8 text
 
@@ -85,7 +87,7 @@ def anchors(data: np.ndarray, doc_end: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, U)
     places, first = np.unique(np.concatenate(places), return_index=True)
-    return places, np.concatenate(hashes)[first]
+    return places, mix(np.concatenate(hashes)[first] ^ U(0x5851F42D4C957F2D))  # smallest hashes are small; buckets need even ones
 
 
 @dataclass
@@ -398,8 +400,19 @@ def _answer_strings(key: tuple, pieces: Iterator[pa.RecordBatch]) -> Iterator[pa
         asked.append((block, bucket))
         ids.append(np.frombuffer(raw, np.int64, n))
         rows.append(np.frombuffer(raw, np.uint8, offset=8 * n).reshape(n, WIDE))
-    every = np.concatenate(ids)
-    best = least_ids(np.concatenate(rows), every) < every[:, None]
+    every, rows = np.concatenate(ids), np.concatenate(rows)
+    best = np.empty((len(every), SIDE + 1), bool)
+    high, low = columns(rows[:, SIDE : SIDE + GRAM])
+    order = np.lexsort((low, high))
+    fresh = np.flatnonzero(np.r_[True, (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])])
+    del high, low
+    at = 0
+    while at < len(order):  # whole grams, about CONTEXTS of them at a time
+        k = np.searchsorted(fresh, at + CONTEXTS)
+        end = int(fresh[k]) if k < len(fresh) else len(order)
+        part = order[at:end]
+        best[part] = least_ids(rows[part], every[part]) < every[part, None]
+        at = end
     bits = [np.packbits(b).tobytes() for b in np.split(best, np.cumsum([len(i) for i in ids])[:-1])]
     yield _batch([a[0] for a in asked], 2, [a[1] for a in asked], bits)
 
@@ -460,7 +473,7 @@ def remove_repeats(docs: DataFrame, texts: bool = True) -> DataFrame:
     total = text_bytes(docs)
     parts = parts_for(total, 2 * BUCKET_BYTES)
     buckets, files = 2 * parts, max(2, parts // 12)
-    blocks = written(blocks_of(docs), "suffix-blocks", 4 * files)
+    blocks = written(blocks_of(docs), "suffix-blocks")
     asked = blocks.mapInArrow(_ask_grams(buckets), _REPLY)
     grams = written(by_key(asked, parts, ["bucket"], ["block"], _answer_grams, _REPLY), "suffix-grams", files)
     known = by_key(blocks.unionByName(grams), parts, ["block"], ["role"], _ask_strings(buckets), _REPLY)

@@ -102,9 +102,9 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     marks = exact_dedup(docs.select("doc_id", "text")).groupBy("doc_id").agg(F.max("kept").alias("any"), F.count("*").alias("n"))
     marks = written(marks.where("NOT any OR n > 1").withColumnRenamed("doc_id", "_of"), "dedup-marks")
-    same = F.col("doc_id").eqNullSafe(F.col("_of"))
-    alone = docs.join(marks.hint("merge"), same, "left_anti")
+    same = lambda m: docs["doc_id"].eqNullSafe(m["_of"])  # noqa: E731  documents may have a column of that name
+    alone = docs.join(marks.hint("merge"), same(marks), "left_anti")
     repeated = marks.where("any")
     if repeated.isEmpty():
         return alone
-    return alone.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
+    return alone.unionByName(docs.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id"]))

@@ -452,4 +452,5 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
 def kept_documents(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of ``docs`` that are first in their component, with all their columns."""
     gone = jaccard_join(docs.select("doc_id", "text"), n, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(written(gone, "join-gone").hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = written(gone, "join-gone")
+    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["_gone"], "left_anti")

@@ -159,5 +159,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes its start: 0 to ``EPOCHS`` times."""
     times = mix(docs.select("doc_id", "source", "text"), block_words).groupBy("doc_id").agg(F.max("starts").alias("_starts")).where("_starts > 0")
-    joined = docs.join(times.withColumnRenamed("doc_id", "_of").hint("merge"), F.col("doc_id").eqNullSafe(F.col("_of")))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_starts"))).alias("_nth")).drop("_nth")
+    times = written(times.withColumnRenamed("doc_id", "_of"), "mix-times")
+    joined = docs.join(times.hint("merge"), docs["doc_id"].eqNullSafe(times["_of"]))
+    again = "_" + "_".join(docs.columns)  # a name that documents don't have
+    return joined.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1).cast("long"), times["_starts"])).alias(again)).drop(again)

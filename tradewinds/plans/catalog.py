@@ -69,7 +69,7 @@ _DECL = _J + """, decl AS (
 ), shares AS (SELECT *, CASE WHEN total > 0 THEN realloc * missing / total ELSE 0 END AS addition FROM shares0
 ), kept AS (
   SELECT * FROM shares SEMI JOIN (SELECT exporter, product, year FROM shares GROUP BY ALL HAVING round(sum(abs(ln(v_m_fob / (v_x + addition)))), 12) < round(sum(abs(ln(v_m_fob / v_x))), 12)) USING (exporter, product, year)
-), sigma AS (SELECT 'N' || n_nationkey AS country, 0.05 * (n_nationkey % 7) AS se, 0.03 * (n_nationkey % 5) AS si FROM nation WHERE n_nationkey <> 5
+), sigma AS (SELECT 'N' || n_nationkey AS country, CAST(0.05 AS DOUBLE) * (n_nationkey % 7) AS se, CAST(0.03 AS DOUBLE) * (n_nationkey % 5) AS si FROM nation WHERE n_nationkey <> 5
 ), weights AS (
   SELECT f.*, coalesce(a.se, (SELECT median(se) FROM sigma)) AS s1, coalesce(b.si, (SELECT median(si) FROM sigma)) AS s2 FROM fob f LEFT JOIN sigma a ON a.country = exporter LEFT JOIN sigma b ON b.country = importer
 ), weighted AS (
@@ -91,7 +91,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    return df.select(*(F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+    return df.select(*((F.round(c, places) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
 def _r(columns: str, places: int = 6) -> str:
@@ -274,7 +274,7 @@ def nes_safeguard(spark, sf):
     return _rounded(reconcile.nes_safeguard(_shares(spark, sf)[2]).select(*KEYS, "addition"), 7)
 
 
-@query("nes_residual", f"WITH {_DECL} SELECT exporter, product, year, round(v_nes - coalesce(a, 0), 7) AS residual, round(coalesce(o, 0), 7) AS import_only FROM short LEFT JOIN (SELECT exporter, product, year, sum(addition) AS a FROM kept GROUP BY ALL) USING (exporter, product, year) LEFT JOIN (SELECT exporter, product, year, sum(v_m_fob) AS o FROM fob WHERE coalesce(v_x, 0) <= 0 AND v_m_fob > 0 GROUP BY ALL) USING (exporter, product, year)")
+@query("nes_residual", f"WITH {_DECL} SELECT exporter, product, year, round(v_nes - coalesce(a, 0), 7) + 0.0 AS residual, round(coalesce(o, 0), 7) AS import_only FROM short LEFT JOIN (SELECT exporter, product, year, sum(addition) AS a FROM kept GROUP BY ALL) USING (exporter, product, year) LEFT JOIN (SELECT exporter, product, year, sum(v_m_fob) AS o FROM fob WHERE coalesce(v_x, 0) <= 0 AND v_m_fob > 0 GROUP BY ALL) USING (exporter, product, year)")
 def nes_residual(spark, sf):
     flows, short, shares = _shares(spark, sf)
     return _rounded(reconcile.nes_residual(flows, short, reconcile.nes_safeguard(shares)), 7)

@@ -54,3 +54,5 @@ def test_lake(spark, tmp_path):
     for bad in (row(("a", 1), ("a", 2)), row((None, 1))):
         with pytest.raises(ValueError):
             lake.upsert("t", bad, ["k"])
+    assert lake.expire("t", keep=2) == len(lake.versions("t")) - 1 == 1 and not lake.expire("t", keep=2)
+    assert {tuple(r) for r in lake.read("t").collect()} == {("a", 1), ("b", 3), ("c", 4)}

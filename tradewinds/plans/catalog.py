@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -11,6 +14,8 @@ from pyspark.sql import functions as F
 from tradewinds.operators import estimation, indicators, reconcile, relational
 from tradewinds.operators.reconcile import GROUP, KEYS
 from tradewinds.plans import crosswalk as cw
+from tradewinds.sources import parsers
+from tradewinds.sources.lake import Lake
 
 _J = """j AS (
   SELECT s_nationkey AS sk, c_nationkey AS ck, 'N' || s_nationkey AS exporter, 'N' || c_nationkey AS importer, p_brand AS product, CAST(year(o_orderdate) AS INTEGER) AS year,
@@ -367,3 +372,93 @@ def union_subresults(spark, sf):
     a = cw.table(spark, sf, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("total"))
     b = cw.table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nation"))
     return a.unionByName(b, allowMissingColumns=True)
+
+
+_YEARS = [str(y) for y in range(1995, 2002)]
+_TOTALS = "totals AS (SELECT c_nationkey AS nk, CAST(year(o_orderdate) AS INTEGER) AS y, round(sum(o_totalprice), 2) AS v, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) BETWEEN 1995 AND 2001 GROUP BY ALL)"
+
+
+def _totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Order totals by nation and year: ``nk, y, v, n``."""
+    orders, customers = (cw.table(spark, sf, t) for t in ("orders", "customer"))
+    rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).withColumn("y", F.year("o_orderdate")).where(F.col("y").between(1995, 2001))
+    return rows.groupBy(F.col("c_nationkey").alias("nk"), "y").agg(F.round(F.sum("o_totalprice"), 2).alias("v"), F.count("*").alias("n"))
+
+
+@query("tsv_unpivot", f"WITH {_TOTALS} SELECT 'A' AS freq, 'N' || n_nationkey AS geo, CAST(t AS VARCHAR) AS \"TIME_PERIOD\", CASE WHEN n_nationkey % 5 <> 0 THEN v END AS \"value\" FROM nation CROSS JOIN range(1995, 2002) r(t) LEFT JOIN totals ON nk = n_nationkey AND y = t WHERE n_nationkey IN (SELECT nk FROM totals)")
+def tsv_unpivot(spark, sf):
+    """A wide table with flagged and missing cells to rows."""
+    wide = _totals(spark, sf).groupBy("nk").pivot("y", list(map(int, _YEARS))).agg(F.first("v"))
+    cells = [F.concat(F.coalesce(F.col(y).cast("decimal(20,2)").cast("string"), F.lit(":")), F.when(F.col("nk") % 5 == 0, " p").otherwise(" ")).alias(f"{y} ") for y in _YEARS]
+    return parsers.tsv_to_rows(wide.select(F.concat(F.lit("A,N"), "nk").alias("freq,geo\\TIME_PERIOD"), *cells), ["freq", "geo"])
+
+
+@query("jsonstat_decode", f"WITH {_TOTALS} SELECT 'N' || nk AS geo, CAST(y AS VARCHAR) AS time, n::DOUBLE AS \"value\" FROM totals")
+def jsonstat_decode(spark, sf):
+    """A payload for each nation, with cells numbered over nations and years, to rows."""
+    header = json.dumps({"id": ["geo", "time"], "size": [25, len(_YEARS)], "dimension": {"geo": {"category": {"index": [f"N{k}" for k in range(25)]}}, "time": {"category": {"index": {y: k for k, y in enumerate(_YEARS)}}}}})
+    cell = F.struct((F.col("nk") * len(_YEARS) + F.col("y") - int(_YEARS[0])).cast("string"), F.col("n").cast("double"))
+    payloads = _totals(spark, sf).groupBy("nk").agg(F.map_from_entries(F.collect_list(cell)).alias("value")).select(F.to_json(F.struct("value")).alias("payload"))
+    return parsers.jsonstat_to_rows(payloads, "payload", header)
+
+
+@query("sdmxjson_decode", f"WITH {_TOTALS} SELECT 'N' || nk AS geo, CAST(y AS VARCHAR) AS time, v AS \"value\" FROM totals")
+def sdmxjson_decode(spark, sf):
+    """A payload for each nation, with keys of positions, to rows."""
+    cell = F.struct(F.concat_ws(":", "nk", F.col("y") - int(_YEARS[0])), F.array("v", F.lit(0.0)))
+    held = _totals(spark, sf).groupBy("nk").agg(F.map_from_entries(F.collect_list(cell)).alias("observations"))
+    payloads = held.select(F.to_json(F.struct(F.array(F.struct("observations")).alias("dataSets"))).alias("payload"))
+    return parsers.sdmxjson_to_rows(payloads, "payload", [("geo", [f"N{k}" for k in range(25)]), ("time", _YEARS)])
+
+
+@query("identity_keys", "SELECT p_size, 'TPC::part::*::brand=' || string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) || ';size=' || p_size AS identity FROM part GROUP BY p_size")
+def identity_keys(spark, sf):
+    """One text for the request of each size's brands."""
+    brands = F.array_join(F.array_sort(F.collect_set("p_brand")), ",")
+    return cw.table(spark, sf, "part").groupBy("p_size").agg(F.concat(F.lit("TPC::part::*::brand="), brands, F.lit(";size="), F.col("p_size").cast("string")).alias("identity"))
+
+
+def _seen(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Last events of each user and type, and the last of those with a low value, as downloads and computations."""
+    events = cw.table(spark, sf, "events")
+    keys = ["user_id", "event_type"]
+    return events.groupBy(*keys).agg(F.max("ts").alias("last_download")), events.where("value < 50").groupBy(*keys).agg(F.max("ts").alias("last_computed"))
+
+
+@query("stale_pairs", "SELECT user_id, event_type FROM events GROUP BY ALL HAVING max(ts) FILTER (WHERE value < 50) IS NULL OR max(ts) FILTER (WHERE value < 50) < max(ts)")
+def stale_pairs(spark, sf):
+    """Pairs never computed or computed before their last download."""
+    return relational.stale_pairs(*_seen(spark, sf), ["user_id", "event_type"])
+
+
+@query("query_priority", "SELECT user_id, max(ts) FILTER (WHERE event_type = 'purchase' AND value < 50) AS last FROM events GROUP BY user_id ORDER BY last NULLS FIRST, user_id LIMIT 20")
+def query_priority(spark, sf):
+    """The next twenty of a run: never done first, then the oldest."""
+    last = F.max(F.when((F.col("event_type") == "purchase") & (F.col("value") < 50), F.col("ts"))).alias("last")
+    return cw.table(spark, sf, "events").groupBy("user_id").agg(last).orderBy(F.asc_nulls_first("last"), "user_id").limit(20)
+
+
+_LATEST = "SELECT user_id, event_type, event_id, round(value, 6) AS value FROM events {} QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1"
+
+
+def _upserted(spark: SparkSession, sf: str) -> Lake:
+    """A lake with two versions of the latest event of each user and type: of early events, then of all."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tradewinds-")
+    lake, keys = Lake(spark, f"{root}/lake-{uuid.uuid4().hex}"), ["user_id", "event_type"]
+    events = cw.table(spark, sf, "events").select(*keys, "event_id", "ts", F.round("value", 6).alias("value"))
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    for part in (events.where(early), events.where(~early)):
+        lake.upsert("latest", relational.first_per_key(part, keys, [F.desc("ts"), F.desc("event_id")]), keys)
+    return lake
+
+
+@query("upsert_latest", _LATEST.format(""))
+def upsert_latest(spark, sf):
+    """Two upserts leave the latest row of each key."""
+    return _upserted(spark, sf).read("latest").drop("ts")
+
+
+@query("time_travel_read", _LATEST.format("WHERE ts < TIMESTAMP '2024-01-16'"))
+def time_travel_read(spark, sf):
+    """The first version, after a second was written."""
+    return _upserted(spark, sf).read("latest", version=1).drop("ts")

@@ -1,42 +1,57 @@
-"""Keyed Parquet tables with snapshots: a directory for each version and a manifest that commits it.
+"""Keyed Parquet tables with snapshots, in any folder that Spark can write.
 
-For a folder that the driver can rename files in. An upsert writes a whole new version; readers see a
-version only after its manifest entry.
+A version is a folder of data and a commit file, which is renamed into place once the data is whole:
+readers see a version with its commit file only, and what an interrupted run leaves is never read. An
+upsert writes a whole new version, so there are no small files to compact.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import time
+import uuid
 from collections.abc import Sequence
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 class Lake:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, Path(root)
+        self.spark, self.root = spark, root.rstrip("/")
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _manifest(self, table: str) -> Path:
-        return self.root / table / "manifest.json"
+    def _commits(self, table: str):
+        return self._path(f"{self.root}/{table}/_commits")
 
     def exists(self, table: str) -> bool:
-        return self._manifest(table).exists()
+        return bool(self.versions(table))
 
     def versions(self, table: str) -> list[dict]:
-        return json.loads(self._manifest(table).read_text())["versions"] if self.exists(table) else []
+        """``version, time, keys, data`` of each version, oldest first."""
+        if not self._fs.exists(self._commits(table)):
+            return []
+        out = []
+        for status in self._fs.listStatus(self._commits(table)):
+            if status.getPath().getName().endswith(".json"):
+                stream = self._fs.open(status.getPath())
+                try:
+                    out.append(json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+                finally:
+                    stream.close()
+        return sorted(out, key=lambda v: v["version"])
 
     def _commit(self, table: str, df: DataFrame, keys: Sequence[str]) -> int:
-        held = self.versions(table)
-        version = held[-1]["version"] + 1 if held else 1
-        path = self.root / table / f"v={version}"
-        df.write.parquet(str(path))
-        held.append({"version": version, "time": time.time(), "keys": list(keys)})
-        part = self._manifest(table).with_suffix(".new")
-        part.write_text(json.dumps({"versions": held}))
-        os.replace(part, self._manifest(table))
+        version = max((v["version"] for v in self.versions(table)), default=0) + 1
+        own = uuid.uuid4().hex
+        data = f"v{version}-{own}"
+        df.write.parquet(f"{self.root}/{table}/{data}")
+        part, final = (self._path(f"{self._commits(table).toString()}/{name}") for name in (f"{own}.part", f"{version:09d}.json"))
+        stream = self._fs.create(part, True)
+        stream.write(bytearray(json.dumps({"version": version, "time": time.time(), "keys": list(keys), "data": data}).encode()))
+        stream.close()
+        if self._fs.exists(final) or not self._fs.rename(part, final):
+            raise RuntimeError(f"version {version} of {table} was written by another run")
         return version
 
     def upsert(self, table: str, new: DataFrame, keys: Sequence[str]) -> int:
@@ -60,4 +75,14 @@ class Lake:
             held = [v for v in held if v["time"] <= as_of]
         if not held:
             raise ValueError(f"{table} has no such version")
-        return self.spark.read.parquet(str(self.root / table / f"v={held[-1]['version']}"))
+        return self.spark.read.parquet(f"{self.root}/{table}/{held[-1]['data']}")
+
+    def expire(self, table: str, keep: int = 1) -> int:
+        """Deletes all but the last ``keep`` versions, each commit file before its data; returns how many went."""
+        if keep < 1:
+            raise ValueError("a table keeps a version at least")
+        old = self.versions(table)[:-keep]
+        for v in old:
+            self._fs.delete(self._path(f"{self._commits(table).toString()}/{v['version']:09d}.json"), False)
+            self._fs.delete(self._path(f"{self.root}/{table}/{v['data']}"), True)
+        return len(old)

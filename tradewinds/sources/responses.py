@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tradewinds.deploy import ship
 from tradewinds.sources import planning
 from tradewinds.sources.limits import Quota
 from tradewinds.sources.requests import Request
@@ -105,6 +106,7 @@ def land(spark: SparkSession, requests: Sequence[Request], path: str, *, lanes:
         options["quota"] = json.dumps(quota)
     if transport:
         options["transport"] = transport
+    ship(spark)
     spark.dataSource.register(Responses)
     spark.read.format("responses").options(**options).load().write.mode("overwrite").parquet(path)
     rows = spark.read.parquet(path)

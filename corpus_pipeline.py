@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradewinds.deploy import ship
 from tradewinds.llm import bpe, exact_dedup, jaccard_join, mixing, quality
 from tradewinds.llm._shared import written
 from tradewinds.llm.queries import RANKS
@@ -18,6 +19,7 @@ ORACLE_SQL = None
 
 def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
+    ship(spark)
     return quality.accepted_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -28,6 +30,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts: five-word shingles, similarity 0.8 or more."""
+    ship(spark)
     return jaccard_join.kept_documents(docs, n=5, num=4, den=5)
 
 
@@ -38,6 +41,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of each text of the mix."""
+    ship(spark)
     return bpe.encode_digests(docs, RANKS)
 
 

@@ -274,6 +274,22 @@ def test_jaccard_join_settles_chains(spark, monkeypatch):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == Counter(_brute(rows, 4, 85, 100))
 
 
+def test_jaccard_join_compares_over_batches(spark):
+    """Linked documents in two batches, which share signatures with an unlinked one of a smaller id."""
+    rows = []
+    for k in range(60):
+        base = [f"w{k}x{j}" for j in range(18)]
+        said = ([*base[2:], f"m{k}"], [*base, f"x{k}"], [f"y{k}", *base], [])
+        rows += [(4 * k + i, " ".join(words), None) for i, words in enumerate(said)]
+    table = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)  # a smallest id and one of the two, then the other
+    try:
+        got = jaccard_join.jaccard_join(table, 4, 85, 100).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == Counter(_brute(rows, 4, 85, 100))
+
+
 def test_pigeonhole_meets_every_linked_pair():
     rng = np.random.default_rng(3)
     plan = jaccard_join.Plan(85, 100)

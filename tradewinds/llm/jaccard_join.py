@@ -383,14 +383,18 @@ def connected(ids: np.ndarray, sets: list[np.ndarray], plan: Plan) -> np.ndarray
 def unsettled(groups: DataFrame, named: DataFrame, files: int) -> DataFrame:
     """``id, size, cluster``: members of components that meet in a group and have pairs that weren't tried.
 
-    ``groups`` has ``members``; ``named`` has ``id, label, size`` of all members of groups. Two
-    documents without links that meet only each other were tried as a pair.
+    ``groups`` has a signature ``a`` and ``members``, a row for each batch that the signature was met
+    in and one for its bucket; ``named`` has ``id, label, size`` of all members of groups. Two documents
+    without links were tried as a pair; there is no other pair if they are all that have the signature.
     """
     alone = named.groupBy("label").agg((F.count("*") == 1).alias("alone"))
-    tagged = groups.distinct().select(F.xxhash64("members").alias("group"), F.size("members").alias("held"), F.explode("members").alias("id"))
+    rows = groups.select("a", F.xxhash64("members").alias("group"), F.size("members").alias("held"))
+    several = rows.groupBy("a").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("a")
+    spread = rows.where("held = 2").join(several, "a", "left_semi").select("group").distinct().withColumn("spread", F.lit(True))
+    tagged = groups.select("members").distinct().select(F.xxhash64("members").alias("group"), F.size("members").alias("held"), F.explode("members").alias("id"))
     tagged = tagged.join(named.select("id", "label").join(alone, "label"), "id").select("group", "held", "label", "alone")
     meet = tagged.groupBy("group", "held").agg(F.min("label").alias("v"), F.max("label").alias("most"), F.bool_and("alone").alias("alone"))
-    meet = meet.where("v <> most AND NOT (held = 2 AND alone)").select("group", "v")
+    meet = meet.where("v <> most").join(spread, "group", "left").where("spread OR NOT (held = 2 AND alone)").select("group", "v")
     edges = written(tagged.join(meet, "group").select(F.col("label").alias("u"), "v").distinct(), "join-meet", files)
     clusters = components(edges, files)
     of = edges.select(F.explode(F.array("u", "v")).alias("label")).distinct().join(clusters, F.col("label") == F.col("node"), "left")
@@ -440,7 +444,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
     ends = F.array(*(F.struct(F.col(i).alias("id"), F.col(z).alias("size")) for i, z in (("a", "na"), ("b", "nb"))))
     sizes = pairs.select(F.explode(ends).alias("x")).groupBy("x.id").agg(F.max("x.size").alias("size"))
     named = written(sizes.join(labels, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("label"), "size"), "join-named", files)
-    open_ = written(unsettled(met.where(F.col("kind") == GROUP).select("members"), named, files), "join-open", files)
+    open_ = written(unsettled(met.where(F.col("kind") == GROUP).select("a", "members"), named, files), "join-open", files)
     if not open_.isEmpty():
         more = written(settled(open_, texts, plan, n, parts, files), "join-more", files)
         labels = components(links.unionByName(more), files)

@@ -54,6 +54,14 @@ def test_exact_dedup(docs, rows, nothing):
     assert exact_dedup.kept_documents(docs).count() == sum(r[3] for r in want)
 
 
+def test_kept_documents_by_row(spark):
+    rows = [(None, "A"), (None, "B"), (None, "B"), (None, "C"), (2, "C"), (5, "a"), (5, "b"), (3, "b"), (7, "p"), (7, "q"), (7, "q")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1)).withColumn("sha", F.lit("clash"))
+    got = exact_dedup.kept_documents(table)
+    assert got.columns == table.columns
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([(None, "A"), (None, "B"), (2, "C"), (5, "a"), (3, "b"), (7, "p"), (7, "q")])
+
+
 def test_directory_splits_overfull_buckets(spark):
     keys = spark.range(3000).select(F.xxhash64("id").alias("key"))
     cells, depth = exact_dedup.directory(keys, capacity=64)

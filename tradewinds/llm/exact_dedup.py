@@ -12,7 +12,7 @@ a group that holds a third of all rows reaches its owner as one row for each map
 their class by a join whose skewed partitions adaptive execution can split.
 
 Nulls and ties: a null text counts as empty; rows with a null doc_id take part and are kept only
-if no row of their class has one; of rows that repeat the smallest doc_id one is kept. An empty
+if no row of their class has one; a doc_id may stand for different texts; of rows that repeat the smallest doc_id one is kept. An empty
 table gives an empty result. Other columns are never read.
 """
 
@@ -99,12 +99,14 @@ def exact_dedup(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = 64) -
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    marks = exact_dedup(docs.select("doc_id", "text")).groupBy("doc_id").agg(F.max("kept").alias("any"), F.count("*").alias("n"))
+    """The rows of ``docs`` that stay, with all their columns: one for each class that has one to keep."""
+    marks = exact_dedup(docs.select("doc_id", "text")).groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("any"), F.count("*").alias("n"))
     marks = written(marks.where("NOT any OR n > 1").withColumnRenamed("doc_id", "_of"), "dedup-marks")
-    same = lambda m: docs["doc_id"].eqNullSafe(m["_of"])  # noqa: E731  documents may have a column of that name
-    alone = docs.join(marks.hint("merge"), same(marks), "left_anti")
+    # documents may have columns of any name, so they go on as one
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"), F.sha2(normalised(F.col("text")), 256).alias("sha"))
+    same = lambda m: rows["id"].eqNullSafe(m["_of"]) & (rows["sha"] == m["text_sha256"])
+    alone = rows.join(marks.hint("merge"), same(marks), "left_anti").select("row.*")
     repeated = marks.where("any")
     if repeated.isEmpty():
         return alone
-    return alone.unionByName(docs.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id"]))
+    return alone.unionByName(rows.join(repeated, same(repeated), "left_semi").dropDuplicates(["id", "sha"]).select("row.*"))

@@ -135,6 +135,20 @@ def test_quality_holds_out_and_ranks(spark, nothing):
     assert quality.score_documents(nothing, labels).count() == 0
 
 
+def test_accepted_documents_by_row(spark):
+    rng = np.random.default_rng(0)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 5))
+    good = lambda: ". ".join(" ".join(word() for _ in range(12)) for _ in range(4)) + "."
+    bad = lambda: " ".join(word() + "###" for _ in range(40))
+    rows = [(i, good() if i % 4 else bad()) for i in range(800)] + [(None, good()), (None, bad()), (None, good()), (900, bad()), (900, good()), (900, good())]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1)).withColumn("hash", F.lit("clash"))
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(800)], "doc_id long, quality int")
+    got = quality.accepted_documents(table, labels)
+    assert got.columns == table.columns
+    said = {(r["doc_id"], r["text"]) for r in got.collect()}
+    assert {r for r in rows if r[0] in (None, 900)} & said == {r for r in rows if r[0] in (None, 900) and "#" not in r[1]}
+
+
 def test_isotonic():
     assert quality.isotonic(np.array([0.0, 2.0, 1.0, 3.0]), np.ones(4)).tolist() == [0.0, 1.5, 1.5, 3.0]
 

@@ -86,15 +86,21 @@ def statistics(text: str) -> list[float]:
     ]
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """``doc_id, x``: the statistics of each text."""
+def _text_hash(text: Column) -> Column:
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
+
+
+def described(docs: DataFrame, hashed: bool = False) -> DataFrame:
+    """``doc_id, x``: the statistics of each text; with its ``hash`` if asked for."""
+    names = ["doc_id", *["hash"] * hashed]
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [statistics(t or "") for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "x"])
+            x = [statistics(t or "") for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(x, pa.list_(pa.float64()))], [*names, "x"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task, "doc_id long, x array<double>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[_text_hash(F.col("text")).alias("hash")] * hashed, F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(task, "doc_id long, " + "hash string, " * hashed + "x array<double>")
 
 
 def fold(doc_id: Column) -> Column:
@@ -206,26 +212,40 @@ def fit(known: DataFrame, width: int = WIDTH, ridge: float = RIDGE, seed: int =
     return model
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, column: str = "quality", width: int = WIDTH) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for each row of ``docs``."""
-    rows = written(described(docs), "quality-statistics")
+def _scored(docs: DataFrame, labels: DataFrame, column: str = "quality", width: int = WIDTH, hashed: bool = False) -> DataFrame:
+    """``doc_id, score`` for each row of ``docs``; with the text's ``hash`` if asked for."""
+    rows = written(described(docs, hashed), "quality-statistics")
     marks = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_doc")).agg(F.avg(F.col(column).cast("double")).alias("y"))
     known = rows.join(marks, F.col("doc_id") == F.col("_doc")).select("x", "y", fold(F.col("doc_id")).alias("fold"))
     model = fit(written(known, "quality-known"), width)
+    names = ["doc_id", *["hash"] * hashed]
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 x = b.column("x").flatten().to_numpy().reshape(b.num_rows, -1)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(model.score(x))], ["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(model.score(x))], [*names, "score"])
+
+    return rows.mapInArrow(task, "doc_id long, " + "hash string, " * hashed + "score double")
+
 
-    scored = rows.mapInArrow(task, "doc_id long, score double")
+def _predicted() -> Column:
+    return F.when(F.col("score") >= CUT, 1).otherwise(0)
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, column: str = "quality", width: int = WIDTH) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for each row of ``docs``."""
     held = F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False))
-    return scored.select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= CUT, 1).otherwise(0).alias("predicted"))
+    return _scored(docs, labels, column, width).select("doc_id", held.alias("held_out"), "score", _predicted().alias("predicted"))
 
 
 def accepted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that aren't rejected, with all their columns."""
-    rejected = score_documents(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("_no")).distinct()
+    """The rows of ``docs`` that aren't rejected, with all their columns.
+
+    Rejected are texts of a doc_id, as a null or repeated one may stand for different texts.
+    """
+    rejected = _scored(docs, labels, hashed=True).where(_predicted() == 0).select(F.col("doc_id").alias("_no"), F.col("hash").alias("_hash")).distinct()
     rejected = written(rejected, "quality-rejected")
-    return docs.join(rejected.hint("merge"), docs["doc_id"].eqNullSafe(rejected["_no"]), "left_anti")
+    # documents may have columns of any name, so they go on as one
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"), _text_hash(F.col("text")).alias("hash"))
+    return rows.join(rejected.hint("merge"), rows["id"].eqNullSafe(rejected["_no"]) & (rows["hash"] == rejected["_hash"]), "left_anti").select("row.*")

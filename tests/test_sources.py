@@ -42,6 +42,13 @@ def test_parsers(spark):
     assert {tuple(r) for r in got} == {("FR", "2021", 2.5), ("DE", "2020", 7.0)}
 
 
+def test_sdmxjson_has_scalars_and_attributes(spark):
+    said = ({"0:0": 5.0, "0:1": [6.0]}, {"1:0": [5.5, None, "A", {"en": "x, [y]"}], "1:1": [7, 0]}, {"0:2": [None, "M"], "1:2": None}, {"2:0": [], "2:1": 1e-7, "2:2": ["A"]})
+    table = spark.createDataFrame([(json.dumps({"dataSets": [{"observations": x}]}),) for x in said], "p string")
+    got = {tuple(r) for r in parsers.sdmxjson_to_rows(table, "p", [("geo", "FDI"), ("t", "XYZ")]).collect()}
+    assert got == {("F", "X", 5.0), ("F", "Y", 6.0), ("D", "X", 5.5), ("D", "Y", 7.0), ("F", "Z", None), ("D", "Z", None), ("I", "X", None), ("I", "Y", 1e-7), ("I", "Z", None)}
+
+
 def test_lake(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     row = lambda *r: spark.createDataFrame(list(r), "k string, v int")

@@ -47,12 +47,16 @@ def jsonstat_to_rows(payloads: DataFrame, column: str, header: str) -> DataFrame
 
 
 def sdmxjson_to_rows(payloads: DataFrame, column: str, dimensions: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
-    """SDMX-JSON payloads: keys ``0:1:2`` of the first data set to codes, with the first value of each."""
-    held = F.from_json(F.get_json_object(column, "$.dataSets[0].observations"), "map<string,array<double>>")
-    rows = payloads.select(F.explode(held).alias("key", "values"))
+    """SDMX-JSON payloads: keys ``0:1:2`` of the first data set to codes, with the value of each.
+
+    An observation is a number, or a list of one and attributes of any type.
+    """
+    held = F.from_json(F.get_json_object(column, "$.dataSets[0].observations"), "map<string,string>")
+    rows = payloads.select(F.explode(held).alias("key", "said"))
     part = F.split("key", ":")
     codes = [F.get(F.array(*map(F.lit, values)), F.get(part, F.lit(k)).cast("int")).alias(name) for k, (name, values) in enumerate(dimensions)]
-    return rows.select(*codes, F.get("values", F.lit(0)).alias("value"))
+    said = F.when(F.col("said").startswith("["), F.get_json_object("said", "$[0]")).otherwise(F.col("said"))
+    return rows.select(*codes, number(said).alias("value"))
 
 
 def availability(rows: DataFrame) -> DataFrame:

@@ -8,6 +8,10 @@ by its format and its context. They are trained on the driver on ``TRAIN_ROWS``
 fixed bound, and a threshold for each kind is set on generated spans that training didn't see, so
 that nearly all that pass are true. Of overlapping spans that pass, the best stays.
 
+Left out: addresses with plain " at " and " dot " are proposed, but all are trained as false, so that
+the threshold cuts them; compressed IPv6, phone numbers in French pairs ("01 23 45 67 89") and cards
+grouped 4-6-5 have no generated examples.
+
 Texts are read whole, one at a time; nothing is shuffled.
 
 Nulls and ties: a null text is empty and has no spans. Rows are independent, so repeated and null

@@ -4,23 +4,27 @@ Texts are equal when identical after each run of white space became one space. E
 equal texts has one entry in an index: rows ``(bucket, depth, key, chain, keep_id, group_size,
 text_sha256)`` sorted by key range in the shared folder. A directory doubles its depth until no
 bucket holds more than ``capacity`` keys; a bucket that fits at a smaller depth keeps it and is
-reached from several directory cells. Keys that collide form a chain whose members are told apart
-by their bytes.
+reached from several directory cells. Keys that several rows have are owned by tasks that compare
+their texts byte by byte; texts that differ form a chain. A row is looked up by the cell of its key,
+which leads to a bucket, and there by key and, along the chain, by the digest of its text.
 
-Hot groups: copies are combined on the map side, by key and bytes, before anything is shuffled, so
-a group that holds a third of all rows reaches its owner as one row for each map task. Rows find
-their class by a join whose skewed partitions adaptive execution can split.
+What is shuffled are keys, digests and ids. Texts go out only for keys that several rows have, and
+combined on the map side, so that a class with a third of all rows reaches its owner as one row for
+each map task. A filter of at most ``FILTER_BITS`` bits tells these keys: beyond a sixteenth as many
+of them it lets more and more other texts pass, which changes the traffic and not the result. Rows
+find their class by joins whose skewed partitions adaptive execution can split.
 
 Nulls and ties: a null text counts as empty; rows with a null doc_id take part and are kept only
-if no row of their class has one; a doc_id may stand for different texts; of rows that repeat the smallest doc_id one is kept. An empty
-table gives an empty result. Other columns are never read.
+if no row of their class has one; a doc_id may stand for different texts; of rows that repeat the
+smallest doc_id one is kept. Texts of any length are single values, never cut; a class moves its text
+once a map task. An empty table gives an empty result. Other columns are never read.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewinds.llm._shared import SPACES, written
@@ -29,6 +33,8 @@ from tradewinds.llm._shared import SPACES, written
 CAPACITY = 4096
 #: Doublings that one pass over the cells can make.
 STEP = 4
+#: Most bits of the filter of repeated keys; a row of it has 64.
+FILTER_BITS = 1 << 24
 
 
 def normalised(text: Column) -> Column:
@@ -62,38 +68,61 @@ def directory(keys: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, int
             break
         low, top = top, min(64, top + STEP)  # the directory doubles where one cell is still overfull
     bucket = F.expr(f"shiftleft(shiftrightunsigned(cell, {top} - depth), 64 - depth)") if top else F.lit(0).cast("long")
-    return out.select("cell", F.when(F.col("depth") == 0, F.lit(0).cast("long")).otherwise(bucket).alias("bucket"), "depth"), top
+    out = out.select("cell", F.when(F.col("depth") == 0, F.lit(0).cast("long")).otherwise(bucket).alias("bucket"), "depth")
+    return written(out, "dedup-directory"), top
 
 
-def build_index(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = 64) -> DataFrame:
-    """The written index: a row for each class of equal texts.
+def key_of(text: Column, key_bits: int = 64) -> Column:
+    """The index key of a normalised text."""
+    key = F.xxhash64(text)
+    return key if key_bits == 64 else F.shiftleft(key, 64 - key_bits)
+
+
+def entries_of(docs: DataFrame, key_bits: int = 64) -> DataFrame:
+    """The written ``doc_id, key, text_sha256`` of each row."""
+    text = normalised(F.col("text"))
+    return written(docs.select("doc_id", key_of(text, key_bits).alias("key"), F.sha2(text, 256).alias("text_sha256")), "dedup-entries")
+
+
+def _with_key_of(docs: DataFrame, keys: DataFrame, key_bits: int) -> DataFrame:
+    """``doc_id, key, t`` of the rows whose key may be one of ``keys``; all that have one are there."""
+    bits = max(64, min(FILTER_BITS, 1 << (16 * keys.count()).bit_length()))
+    place = lambda key: F.pmod(F.xxhash64(key), F.lit(bits))
+    held = keys.select(place("key").alias("place")).groupBy(F.expr("place DIV 64").alias("word"))
+    known = F.broadcast(held.agg(F.bit_or(F.expr("shiftleft(1L, CAST(place % 64 AS INT))")).alias("bits")))  # FILTER_BITS / 64 rows at most
+    rows = docs.select("doc_id", normalised(F.col("text")).alias("t")).withColumn("key", key_of(F.col("t"), key_bits)).withColumn("place", place("key"))
+    return rows.join(known, F.expr("place DIV 64") == F.col("word")).where(F.getbit("bits", F.expr("CAST(place % 64 AS INT)")) == 1).select("doc_id", "key", "t")
+
+
+def build_index(docs: DataFrame, entries: DataFrame, capacity: int = CAPACITY, key_bits: int = 64) -> tuple[DataFrame, DataFrame, int]:
+    """The written index, a row for each class of equal texts; its directory and the directory's depth.
 
     ``key_bits`` narrows the hash, which makes chains common; 64 outside tests.
     """
-    text = normalised(F.col("text"))
-    classes = docs.select("doc_id", text.alias("t")).withColumn("key", key_of(F.col("t"), key_bits))
-    classes = classes.groupBy("key", "t").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))  # compares bytes
-    classes = written(classes.select("key", "keep_id", "group_size", F.sha2("t", 256).alias("text_sha256")), "dedup-classes")
-    cells, depth = directory(classes.select("key").distinct(), capacity)
-    owned = classes.withColumn("cell", _cell(F.col("key"), depth)).join(cells, "cell")
-    chains = classes.groupBy("key").agg(F.sort_array(F.collect_list("text_sha256")).alias("links"))  # a 64-bit key: a link or two
-    rows = owned.join(chains, "key").select("bucket", "depth", "key", F.array_position("links", F.col("text_sha256")).cast("int").alias("chain"), "keep_id", "group_size", "text_sha256")
-    return written(rows.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key", "chain"), "dedup-index")
+    keys = written(entries.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("keep_id"), F.min("text_sha256").alias("text_sha256")), "dedup-keys")
+    cells, depth = directory(keys.select("key"), capacity)
+    several = keys.where("n > 1").select("key")
+    classes = _with_key_of(docs, several, key_bits).groupBy("key", "t").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))  # compares bytes
+    classes = classes.select("key", "keep_id", "group_size", F.sha2("t", 256).alias("text_sha256")).join(several, "key", "left_semi")
+    chained = classes.withColumn("chain", F.row_number().over(Window.partitionBy("key").orderBy("text_sha256")))  # a 64-bit key: a link or two
+    alone = keys.where("n = 1").select("key", "keep_id", F.lit(1).cast("long").alias("group_size"), "text_sha256", F.lit(1).alias("chain"))
+    owned = alone.unionByName(chained).withColumn("cell", _cell(F.col("key"), depth)).join(cells, "cell")
+    rows = owned.select("bucket", "depth", "key", "chain", "keep_id", "group_size", "text_sha256")
+    return written(rows.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key", "chain"), "dedup-index"), cells, depth
 
 
-def key_of(text: Column, key_bits: int = 64) -> Column:
-    """The index key of a normalised text."""
-    key = F.xxhash64(text)
-    return key if key_bits == 64 else F.shiftleft(key, 64 - key_bits)
+def lookup(entries: DataFrame, index: DataFrame, cells: DataFrame, depth: int) -> DataFrame:
+    """``entries`` with the ``keep_id, group_size`` that the directory's bucket holds for their key and digest."""
+    reached = entries.withColumn("cell", _cell(F.col("key"), depth)).join(cells.select("cell", "bucket"), "cell").drop("cell")
+    return reached.join(index.select("bucket", "key", "text_sha256", "keep_id", "group_size"), ["bucket", "key", "text_sha256"])
 
 
 def exact_dedup(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = 64) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256``: one row for each row of ``docs``."""
-    index = build_index(docs, capacity, key_bits)
-    text = normalised(F.col("text"))
-    rows = docs.select("doc_id", key_of(text, key_bits).alias("key"), F.sha2(text, 256).alias("text_sha256"))
-    rows = rows.groupBy("doc_id", "key", "text_sha256").agg(F.count("*").alias("times"))
-    found = rows.join(index.select("key", "text_sha256", "keep_id", "group_size"), ["key", "text_sha256"])
+    entries = entries_of(docs, key_bits)
+    index, cells, depth = build_index(docs, entries, capacity, key_bits)
+    rows = entries.groupBy("doc_id", "key", "text_sha256").agg(F.count("*").alias("times"))
+    found = lookup(rows, index, cells, depth)
     found = found.select("*", F.posexplode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("again", "_nth"))
     return found.select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("again") == 0)).alias("kept"), "text_sha256")
 

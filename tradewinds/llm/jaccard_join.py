@@ -1,6 +1,7 @@
 """Exact n-gram Jaccard join by universe partition and pigeonhole.
 
-A document's set is its distinct word n-grams, as 64-bit hashes of the words. Two sets of sizes
+A document's set is its distinct word n-grams. Candidates are found by 64-bit hashes of them, made of
+cryptographic hashes of the words; links are decided by the words themselves. Two sets of sizes
 ``l`` and ``s`` with similarity ``num/den`` differ in at most ``(den - num)(l + s) / (den + num)``
 elements. Sizes fall into bands; each band has its own *space* for the pairs whose larger set lies
 in it, and a set joins its band's space and those above that a partner can lie in.
@@ -12,7 +13,7 @@ needs only its ``h - 2k + 1`` signatures that come first in an order by content:
 which are the rarest. Empty and tiny subsets, which many sets share, are those left out. ``k`` is
 what a cost model finds cheapest for the band.
 
-Equal sets are combined within a batch, and of the sets of a batch with one signature only the
+Texts of equal words are combined within a batch, and of the sets of a batch with one signature only the
 smallest id goes on, so a group of copies that holds a third of all rows reaches a bucket as one
 entry a batch. In a bucket the smallest id stands for all: pairs to it are verified, by the texts'
 own n-grams, and linked; documents that are already connected need no other pair. Components that
@@ -28,6 +29,7 @@ one node. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tradewinds.llm._shared import by_key, parts_for, text_bytes, written
 from tradewinds.llm.components import components
-from tradewinds.llm.hashing import BASE, U, mix, prefix_sums
+from tradewinds.llm.hashing import BASE, U, mix
 
 #: Width of a band of sizes.
 BAND = 1.5
@@ -48,45 +50,47 @@ BAND = 1.5
 STAR = 400
 #: Documents and n-grams of a block that is counted at once, and columns of a product.
 BLOCK_IDS, BLOCK_ITEMS, COLUMNS = 1024, 1_500_000, 2048
-#: Text that is hashed at a time, and text to a bucket.
+#: Words of more bytes are hashed each time that they occur; hashes that a task keeps.
+LONG_WORD, KNOWN_WORDS = 64, 500_000
+#: Text that is hashed or compared at a time, and text to a bucket.
 SLICE_BYTES, BUCKET_BYTES = 1 << 20, 6_000_000
 
 
-def _lower() -> np.ndarray:
-    table = np.arange(256, dtype=np.uint8)
-    table[65:91] += 32
-    return table
-
-
-_LOWER = _lower()
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-
-
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of lower-cased bytes, and where each begins."""
-    hashes, places, at = [], [], 0
-    n = len(data)
-    while at < n:
-        end = min(n, at + SLICE_BYTES)
-        if end < n:  # never cut a word
-            back = np.flatnonzero(_SPACE[data[at:end]][::-1][:4096])
-            end = end - int(back[0]) if len(back) else end
-            while end < n and not len(back) and not _SPACE[data[end]]:
-                more = np.flatnonzero(_SPACE[data[end : end + SLICE_BYTES]])
-                end = end + int(more[0]) if len(more) else min(n, end + SLICE_BYTES)
-        piece = _LOWER[data[at:end]]
-        word = ~_SPACE[piece]
-        edge = np.diff(np.r_[False, word, False].astype(np.int8))
-        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        if len(starts):
-            sums, down = prefix_sums(piece)
-            hashes.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93)))
-            places.append(starts + at)
+_BREAK = re.compile(rb"[ \t-\r]")
+
+
+def word_lists(raw: bytes) -> Iterator[list[bytes]]:
+    """The lower-cased words of a text, slice by slice; no word is cut."""
+    at = 0
+    while at < len(raw):
+        found = _BREAK.search(raw, at + SLICE_BYTES) if at + SLICE_BYTES < len(raw) else None
+        end = found.start() if found else len(raw)
+        yield raw[at:end].lower().split()  # of bytes: ASCII letters and ASCII white space only
         at = end
-    if not hashes:
-        return np.zeros(0, U), np.zeros(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(places)
+
+
+class _Hashes(dict):
+    """Cryptographic 64-bit hashes of words; those of short words are kept, ``KNOWN_WORDS`` at most."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= LONG_WORD:
+            if len(self) >= KNOWN_WORDS:
+                self.clear()
+            self[word] = value
+        return value
+
+
+class _Numbers(dict):
+    """Words by the order in which they are first asked for, from 1."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = k = len(self) + 1
+        return k
+
+
+def _numbered(raw: bytes, known: dict, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.fromiter(map(known.__getitem__, w), kind, len(w)) for w in word_lists(raw))])
 
 
 @cache
@@ -106,28 +110,25 @@ def set_of(words: np.ndarray, n: int) -> np.ndarray:
     return np.unique(mix(grams))
 
 
-def sets_of(texts: Iterable[str | None], n: int) -> Iterator[np.ndarray]:
-    """The set of each text; short texts are hashed together."""
-    held: list[bytes] = []
-    size = 0
-
-    def flush() -> Iterator[np.ndarray]:
-        data = b"\n".join(held)
-        hashes, places = word_hashes(np.frombuffer(data, np.uint8))
-        ends = np.cumsum([len(b) + 1 for b in held])
-        cuts = np.searchsorted(places, ends[:-1])
-        for words in np.split(hashes, cuts):
-            yield set_of(words, n)
+def exact_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
+    """The sets of texts as rising numbers: two are equal only if their n-grams are, word by word.
 
-    for text in texts:
-        raw = (text or "").encode()
-        held.append(raw)
-        size += len(raw)
-        if size >= SLICE_BYTES:
-            yield from flush()
-            held, size = [], 0
-    if held:
-        yield from flush()
+    Words are numbered by their bytes and n-grams by the numbers of their words, so no hash is trusted.
+    """
+    known = _Numbers()
+    words = [_numbered(raw, known, np.int64) for raw in texts]
+    words = [np.pad(w, (0, n - len(w))) if 0 < len(w) < n else w for w in words]  # a short text is one n-gram, which no other text has
+    counts = np.array([max(0, len(w) - n + 1) for w in words], np.int64)
+    flat = np.concatenate([np.zeros(0, np.int64), *words])
+    owner = np.repeat(np.arange(len(texts)), counts)
+    first = np.cumsum([0, *(len(w) for w in words)])[:-1]
+    starts = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(len(owner))
+    gram = flat[starts]
+    for k in range(1, n):
+        gram = np.unique(gram * (len(known) + 1) + flat[starts + k], return_inverse=True)[1]
+    distinct = max(1, len(gram))
+    held = np.unique(owner * distinct + gram)
+    return np.split(held % distinct, np.searchsorted(held, np.arange(1, len(texts)) * distinct))
 
 
 @dataclass(frozen=True)
@@ -273,12 +274,20 @@ def _stars(s: np.ndarray, i: np.ndarray, z: np.ndarray, starts: np.ndarray, buck
 def _signed(plan: Plan, n: int, buckets: int):
     """Batches of ``doc_id, text`` to rows of all kinds."""
 
+    known = _Hashes()
+
     def one(ids: list, texts: list) -> Iterator[pa.RecordBatch]:
         first: dict[bytes, int] = {}
         keys, sizes, kept = [], [], {}
-        for doc_id, items in zip(ids, sets_of(texts, n), strict=True):
+        for doc_id, text in zip(ids, texts, strict=True):
+            said = hashlib.blake2b(digest_size=32)
+            parts = [np.zeros(0, U)]
+            for words in word_lists((text or "").encode()):
+                said.update(b" ".join([*words, b""]))
+                parts.append(np.fromiter(map(known.__getitem__, words), U, len(words)))
+            items = set_of(np.concatenate(parts), n)
             sizes.append(len(items))
-            key = hashlib.blake2b(items.tobytes(), digest_size=16).digest() if len(items) and doc_id is not None else b""
+            key = said.digest() if len(items) and doc_id is not None else b""
             keys.append(key)
             if key and (key not in first or doc_id < first[key]):
                 first[key] = doc_id
@@ -335,15 +344,30 @@ def verified(pairs: DataFrame, texts: DataFrame, plan: Plan, n: int, parts: int)
     rows = centres.unionByName(others).join(texts, F.col("id") == F.col("doc_id")).select("a", "piece", "role", "id", "text")
 
     def work(key: tuple, pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre: list[np.ndarray] = []
-        found = []
+        centre: list[bytes] = []
+        held: list[tuple[int, bytes]] = []
+        found: list[int] = []
+
+        def compare() -> None:
+            sets = exact_sets([*centre, *(raw for _, raw in held)], n)
+            for (i, _), items in zip(held, sets[len(centre) :], strict=True):
+                if any(plan.linked(c, items) for c in sets[: len(centre)]):
+                    found.append(i)
+            held.clear()
+
+        size = 0
         for b in pieces:
-            role, ids = b.column("role").to_pylist(), b.column("id").to_pylist()
-            for r, i, items in zip(role, ids, sets_of(b.column("text").to_pylist(), n), strict=True):
+            for r, i, text in zip(*(b.column(c).to_pylist() for c in ("role", "id", "text")), strict=True):
+                raw = (text or "").encode()
                 if r == 0:
-                    centre.append(items)
-                elif any(plan.linked(c, items) for c in centre):
-                    found.append(i)
+                    centre.append(raw)
+                    continue
+                held.append((i, raw))
+                size += len(raw)
+                if size >= SLICE_BYTES:
+                    compare()
+                    size = 0
+        compare()
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([key[0]] * len(found), pa.int64()), pa.array(found, pa.int64())], ["a", "b"])
 
@@ -409,12 +433,12 @@ def settled(open_: DataFrame, texts: DataFrame, plan: Plan, n: int, parts: int,
     rows = placed.join(texts, F.col("id") == F.col("doc_id")).select("cluster", F.explode(both).alias("at"), "id", "text").select("cluster", "at.i", "at.j", "id", "text")
 
     def work(key: tuple, pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sets = [], []
+        ids, texts = [], []
         for b in pieces:
             ids += b.column("id").to_pylist()
-            sets += sets_of(b.column("text").to_pylist(), n)
+            texts += [(t or "").encode() for t in b.column("text").to_pylist()]
         ids = np.array(ids, np.int64)
-        first = connected(ids, sets, plan)
+        first = connected(ids, exact_sets(texts, n), plan)
         some = first != ids
         if some.any():
             yield pa.RecordBatch.from_arrays([pa.array(ids[some], pa.int64()), pa.array(first[some], pa.int64())], ["u", "v"])

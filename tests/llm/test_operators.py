@@ -62,12 +62,29 @@ def test_kept_documents_by_row(spark):
     assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([(None, "A"), (None, "B"), (2, "C"), (5, "a"), (3, "b"), (7, "p"), (7, "q")])
 
 
+def test_rows_are_found_through_the_directory(docs):
+    entries = exact_dedup.entries_of(docs)
+    index, cells, depth = exact_dedup.build_index(docs, entries, capacity=8)
+    assert depth > 2
+    assert exact_dedup.lookup(entries, index, cells, depth).count() == entries.count()
+    wrong = cells.withColumn("bucket", F.when(F.col("cell") % 2 == 0, F.col("bucket") + 1).otherwise(F.col("bucket")))
+    assert exact_dedup.lookup(entries, index, wrong, depth).count() < entries.count()
+    buckets = index.groupBy("bucket", "depth").agg(F.countDistinct("key").alias("n")).collect()
+    assert max(r["n"] for r in buckets) <= 8 and len(buckets) > 4
+
+
+def test_a_full_filter_changes_no_class(docs, monkeypatch):
+    want = Counter(map(tuple, exact_dedup.exact_dedup(docs).collect()))
+    monkeypatch.setattr(exact_dedup, "FILTER_BITS", 64)
+    assert Counter(map(tuple, exact_dedup.exact_dedup(docs).collect())) == want
+
+
 def test_directory_splits_overfull_buckets(spark):
     keys = spark.range(3000).select(F.xxhash64("id").alias("key"))
-    cells, depth = exact_dedup.directory(keys, capacity=64)
+    cells, depth = exact_dedup.directory(keys, capacity=50)
     held = keys.withColumn("cell", exact_dedup._cell(F.col("key"), depth)).join(cells, "cell").groupBy("bucket", "depth").count().collect()
-    assert sum(r["count"] for r in held) == 3000 and max(r["count"] for r in held) <= 64
-    assert len({r["depth"] for r in held}) >= 1
+    assert sum(r["count"] for r in held) == 3000 and max(r["count"] for r in held) <= 50
+    assert len({r["depth"] for r in cells.collect()}) > 1
 
 
 def test_mixing(docs, rows, nothing):
@@ -172,9 +189,65 @@ def test_suffix_dedup(docs, rows, nothing):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
-def test_maximal_repeats_have_all_occurrences():
-    texts = [b"xabcdey", b"zabcdew", b"qabcq"]
-    assert suffix_dedup.maximal_repeats(texts, 3) == [(b"abc", [(0, 1), (1, 1), (2, 1)]), (b"abcde", [(0, 1), (1, 1)])] or dict(suffix_dedup.maximal_repeats(texts, 3)) == {b"abc": [(0, 1), (1, 1), (2, 1)], b"abcde": [(0, 1), (1, 1)]}
+def test_suffix_dedup_of_extreme_ids(spark):
+    text, other = "the quick brown fox jumps over the lazy dog and runs away again", "0123456789" * 7
+    top = 2**63 - 1
+    rows = [(top, text), (None, text), (None, "x" + text), (-top - 1, other), (top, "z" + other), (None, None)]
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    n = len(text)
+    assert got == Counter([(top, n, 0), (None, n, n), (None, n + 1, n), (-top - 1, 70, 0), (top, 71, 70), (None, 0, 0)])
+
+
+def _passages(rng):
+    """Texts of pieces that are shared in many ways: nested, overlapping, at either end."""
+    word = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    stock = [word(n) for n in (52, 64, 90, 140, 300)]
+    texts = []
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.integers(1, 4)):
+            s = stock[rng.integers(len(stock))]
+            a, b = sorted(rng.integers(0, len(s) + 1, 2).tolist())
+            parts += [word(rng.integers(0, 9)), s[a:b] if rng.random() < 0.5 else s]
+        texts.append("".join(parts))
+    return texts
+
+
+def test_repeat_groups_are_maximal_and_whole(spark):
+    texts = [*_passages(np.random.default_rng(4)), "é" * 40, "", None]
+    rows = list(enumerate(texts))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    raw = {i: (t or "").encode() for i, t in rows}
+    groups = defaultdict(list)
+    for r in suffix_dedup.repeats(table.repartition(3)).collect():
+        groups[(r["group"], r["length"])].append((r["doc_id"], r["start"]))
+    assert groups and len({k[0] for k in groups}) == len(groups)
+    covered = defaultdict(set)
+    for (_, length), places in groups.items():
+        texts = {raw[i][p : p + length] for i, p in places}
+        assert len(texts) == 1 and len(places) > 1 and 50 <= length <= 84
+        (text,) = texts
+        assert set(places) == {(i, p) for i, t in raw.items() for p in range(len(t) - length + 1) if t.startswith(text, p)}
+        for i, p in places:
+            covered[i] |= set(range(p, p + length))
+    where = defaultdict(set)
+    for i, t in raw.items():
+        for p in range(len(t) - 49):
+            where[t[p : p + 50]].add((i, p))
+    for places in where.values():
+        if len({i for i, _ in places}) > 1:
+            for i, p in places:
+                assert set(range(p, p + 50)) <= covered[i]
+
+
+def test_repeat_groups_of_one_gram():
+    gram = b"0123456789abcdef"
+    left = [b"." * 10 + b"A" * 24, b"." * 10 + b"A" * 24, b":" * 20 + b"A" * 14, b"-" * 34]
+    right = [b"B" * 34, b"B" * 20 + b"+" * 14, b"B" * 34, b"B" * 34]
+    rows = np.frombuffer(b"".join(a + gram + b for a, b in zip(left, right, strict=True)), np.uint8).reshape(4, -1)
+    found = suffix_dedup.repeat_groups(rows, suffix_dedup.extents(rows))
+    got = {(int(a), int(b)): set(found.members[x:y].tolist()) for a, b, x, y in zip(found.left, found.right, found.starts, found.starts[1:], strict=False)}
+    assert got == {(14, 36): {0, 1, 2}, (34, 36): {0, 1}, (14, 50): {0, 2}, (0, 50): {0, 2, 3}}
 
 
 def test_nearest(spark):
@@ -288,6 +361,31 @@ def test_jaccard_join(docs, rows, nothing, n, num, den):
     assert jaccard_join.jaccard_join(nothing, n, num, den).count() == 0
 
 
+def _collide():
+    """Two words of a Thue-Morse sequence and its complement: equal under any odd base modulo 2**64."""
+    bits = [bin(k).count("1") % 2 for k in range(2048)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_jaccard_join_compares_words_not_hashes(spark, monkeypatch):
+    a, b = _collide()
+    rows = [(1, a, None), (2, b, None), (3, f"{a} {a}", None), (4, f"{a}\t{a.upper()}", None), (5, f"x {b}", None)]
+    table = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = jaccard_join.jaccard_join(table, 4, 85, 100).collect()
+    assert Counter(tuple(r) for r in got) == Counter(_brute(rows, 4, 85, 100))
+    # texts whose words have equal hashes are compared by their words
+    sets = jaccard_join.exact_sets([a.encode(), b.encode(), b"", b"p q r s t", b"q R s t u", b"q r s t"], 4)
+    assert [len(s) for s in sets] == [1, 1, 0, 2, 2, 1]
+    assert not np.intersect1d(sets[0], sets[1]).size and np.intersect1d(sets[3], sets[4]).size == 1 and sets[5][0] in sets[3]
+
+
+def test_words_over_slices(monkeypatch):
+    raw = ("Ab  c\u00e9 " * 50 + "y" * 900 + "\x0b z\r").encode()
+    whole = [w for words in jaccard_join.word_lists(raw) for w in words]
+    monkeypatch.setattr(jaccard_join, "SLICE_BYTES", 7)
+    assert [w for words in jaccard_join.word_lists(raw) for w in words] == whole == raw.lower().split()
+
+
 def test_jaccard_join_settles_chains(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK_IDS", 7)  # clusters of several blocks
     base = [f"w{k}" for k in range(60)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,62 +79,149 @@ def fit_freight(sample: DataFrame) -> FreightModel:
     return model
 
 
-def _levels(rows: DataFrame) -> tuple[list[str], list[str], list[int]]:
-    one = lambda c: sorted(r[0] for r in rows.select(c).distinct().collect())
-    return one("exporter"), one("importer"), one("year")
+@dataclass
+class Levels:
+    """Exporters, importers and years as the columns of a design: one number for each."""
 
+    of: tuple[list, list, list]
 
-def fit_quality(rows: DataFrame, robust: bool = True) -> pd.DataFrame:
-    """``country, sigma_export, sigma_import`` from reporting distances.
+    @classmethod
+    def found(cls, rows: DataFrame) -> Levels:
+        return cls(tuple(sorted(r[0] for r in rows.select(c).distinct().collect()) for c in FACTORS))
 
-    Distances are regressed on exporters, importers and years, with products absorbed by weighted
-    means. Whole products are brought to one task each, which adds up dense partial matrices; their
-    size is that of the levels, not of the rows.
+    def first(self, k: int) -> int:
+        return sum(map(len, self.of[:k]))
+
+    def __len__(self) -> int:
+        return self.first(3)
+
+    def numbers(self) -> list[dict]:
+        return [{v: self.first(k) + i for i, v in enumerate(held)} for k, held in enumerate(self.of)]
+
+    def free(self) -> np.ndarray:
+        """The columns that are left without the first level of each factor."""
+        return np.array([i for k, held in enumerate(self.of) for i in range(self.first(k) + 1, self.first(k) + len(held))], int)
+
+
+FACTORS = ("exporter", "importer", "year")
+#: Products that a task turns into one dense matrix at a time.
+PRODUCTS = 256
+
+
+def crossed(rows: DataFrame, value: Column, levels: Levels) -> np.ndarray:
+    """The sums of ``value`` over every two levels, by one aggregation: as many rows as pairs of levels."""
+    two = [(0, 1), (0, 2), (1, 2)]
+    sums = rows.select(*FACTORS, value.alias("_v")).groupingSets([[FACTORS[i], FACTORS[j]] for i, j in two], *FACTORS).agg(F.sum("_v").alias("v"))
+    out, number = np.zeros((len(levels), len(levels))), levels.numbers()
+    for r in sums.collect():
+        i, j = (number[k][r[c]] for k, c in enumerate(FACTORS) if r[c] is not None)
+        out[i, j] = out[j, i] = r["v"]
+    for k in range(3):  # a level with itself: its sum over the levels of another factor
+        here = slice(levels.first(k), levels.first(k + 1))
+        beside = 1 if k == 0 else 0
+        out[here, here] = np.diag(out[here, levels.first(beside) : levels.first(beside + 1)].sum(1))
+    return out
+
+
+def by_product(rows: DataFrame, values: dict[str, Column], levels: Levels, share: Callable[[dict[str, np.ndarray]], np.ndarray], size: int) -> np.ndarray:
+    """The sum over products of ``share``, which gets each value's sums by product and level.
+
+    Sums are made by Spark, combined before they are shuffled: a product that most rows have is one row for
+    each of its levels. Tasks read them product by product and add up what ``share`` makes of some products.
     """
-    ex, im, yr = _levels(rows)
-    p = len(ex) - 1 + len(im) - 1 + len(yr) - 1
-    at = ({v: i - 1 for i, v in enumerate(ex)}, {v: i - 1 + len(ex) - 1 for i, v in enumerate(im)}, {v: i - 1 + len(ex) + len(im) - 2 for i, v in enumerate(yr)})
-    firsts = (ex[0], im[0], yr[0]) if ex else ()
-
-    def within(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        x = np.zeros((len(g), p))
-        for c, place, first in zip(("exporter", "importer", "year"), at, firsts, strict=True):
-            values = g[c].to_numpy()
-            some = np.flatnonzero(values != first)
-            x[some, [place[v] for v in values[some]]] = 1.0
-        w, y = g["weight"].to_numpy(float), g["distance"].to_numpy(float)
-        return x - (w @ x) / w.sum(), y - (w @ y) / w.sum(), w
-
-    def summed(share) -> np.ndarray:
-        def task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            held = [f for f in frames if len(f)]
-            total = np.zeros(p * p + p + 3)
-            if held:
-                for _, g in pd.concat(held).groupby("product"):
-                    total += share(*within(g))
+    sums = rows.select("product", *FACTORS, *(c.alias(n) for n, c in values.items())).groupingSets([["product", f] for f in FACTORS], "product", *FACTORS).agg(*(F.sum(n).alias(n) for n in values))
+    number, width, names = levels.numbers(), len(levels), list(values)
+
+    def task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, rest, any_ = np.zeros(size), None, False
+
+        def add(frame: pd.DataFrame) -> None:
+            at = np.zeros(len(frame), int)
+            for k, c in enumerate(FACTORS):
+                some = frame[c].notna().to_numpy()
+                at[some] = frame.loc[some, c].map(number[k]).to_numpy(int)
+            of, products = pd.factorize(frame["product"])
+            for low in range(0, len(products), PRODUCTS):
+                here = (of >= low) & (of < low + PRODUCTS)
+                held = {n: np.zeros((min(PRODUCTS, len(products) - low), width)) for n in names}
+                for n in names:
+                    held[n][of[here] - low, at[here]] = frame[n].to_numpy(float)[here]
+                total[:] += share(held)
+
+        for frame in frames:
+            frame = frame if rest is None else pd.concat([rest, frame])
+            last = frame["product"] == frame["product"].iloc[-1] if len(frame) else None
+            rest = frame if last is None else frame[last]  # its other levels may follow
+            if last is not None and not last.all():
+                add(frame[~last])
+                any_ = True
+        if rest is not None and len(rest):
+            add(rest)
+            any_ = True
+        if any_:
             yield pd.DataFrame({"s": [total.tobytes()]})
 
-        add = lambda frames: iter([pd.DataFrame({"s": [sum((np.frombuffer(s) for f in frames for s in f["s"]), np.zeros(p * p + p + 3)).tobytes()]})])
-        parts = rows.repartition("product").mapInPandas(task, "s binary").repartition(4).mapInPandas(add, "s binary")
-        return sum((np.frombuffer(r[0]) for r in parts.collect()), np.zeros(p * p + p + 3))
+    def again(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [np.frombuffer(s) for f in frames for s in f["s"]]
+        if held:
+            yield pd.DataFrame({"s": [sum(held).tobytes()]})
 
-    s = summed(lambda x, y, w: np.concatenate([((x * w[:, None]).T @ x).ravel(), x.T @ (w * y), [len(y), 1, (w * y * y).sum()]]))
-    inverse = np.linalg.pinv(s[: p * p].reshape(p, p))
-    beta = inverse @ s[p * p : p * p + p]
-    n, products = s[-3], s[-2]
+    parts = sums.repartition("product").sortWithinPartitions("product").mapInPandas(task, "s binary").repartition(4).mapInPandas(again, "s binary")
+    return sum((np.frombuffer(r[0]) for r in parts.collect()), np.zeros(size))
+
+
+def fit_quality(rows: DataFrame, robust: bool = True) -> pd.DataFrame:
+    """``country, sigma_export, sigma_import`` from reporting distances.
+
+    Distances are regressed on exporters, importers and years, with products absorbed by weighted
+    means. All that is needed of the rows are sums by two levels and by product and level; their number is
+    that of the levels, not of the rows.
+    """
+    levels = Levels.found(rows)
+    n, free = len(levels), levels.free()
+    w, y = F.col("weight"), F.col("distance")
+    exporters = slice(0, levels.first(1))  # each row has one exporter: their sums give a product's total
+
+    def absorbed(held: dict[str, np.ndarray]) -> np.ndarray:
+        m, s = held["w"], held["wy"]
+        each, both = m[:, exporters].sum(1), s[:, exporters].sum(1)
+        return np.concatenate([(m.T @ (m / each[:, None])).ravel(), s.sum(0) - m.T @ (both / each), [held["one"][:, exporters].sum(), len(m), (held["wyy"][:, exporters].sum(1) - both**2 / each).sum()]])
+
+    s = by_product(rows, {"w": w, "wy": w * y, "wyy": w * y * y, "one": F.lit(1.0)}, levels, absorbed, n * n + n + 3)
+    a = (crossed(rows, w, levels) - s[: n * n].reshape(n, n))[np.ix_(free, free)]
+    b, (count, products, squares) = s[n * n : n * n + n][free], s[-3:]
+    inverse = np.linalg.pinv(a)
+    beta = inverse @ b
     if robust:
-        s = summed(lambda x, y, w: np.concatenate([((x * ((w * (y - x @ beta)) ** 2)[:, None]).T @ x).ravel(), np.zeros(p + 3)]))
-        cov = inverse @ s[: p * p].reshape(p, p) @ inverse
+        effect = np.zeros(n)
+        effect[free] = beta
+        own = F.lit(0.0)
+        for k, c in enumerate(FACTORS):
+            names = F.create_map(*(x for v, i in levels.numbers()[k].items() for x in (F.lit(v), F.lit(float(effect[i])))))
+            own = own + F.element_at(names, F.col(c))
+        left = rows.withColumn("_left", y - own)
+        means = left.groupBy("product").agg((F.sum(w * F.col("_left")) / F.sum(w)).alias("_mean"))
+        v = F.pow(w * (F.col("_left") - F.col("_mean")), 2)
+        left = left.join(means, "product").withColumn("_v", v)
+
+        def spread(held: dict[str, np.ndarray]) -> np.ndarray:
+            m, u = held["w"], held["v"]
+            mean = m / m[:, exporters].sum(1)[:, None]
+            cross = u.T @ mean
+            return (mean.T @ (mean * u[:, exporters].sum(1)[:, None]) - cross - cross.T).ravel()
+
+        meat = crossed(left, F.col("_v"), levels) + by_product(left, {"w": w, "v": F.col("_v")}, levels, spread, n * n).reshape(n, n)
+        cov = inverse @ meat[np.ix_(free, free)] @ inverse
     else:
-        cov = inverse * (s[-1] - beta @ s[p * p : p * p + p]) / max(n - p - products, 1)
-    out = {}
-    for name, levels, low in (("sigma_export", ex, 0), ("sigma_import", im, len(ex) - 1)):
-        m = len(levels)
-        pick = np.zeros((m, p))
+        cov = inverse * (squares - beta @ b) / max(count - len(free) - products, 1)
+    out, ex, im = {}, levels.of[0], levels.of[1]
+    for name, held, low in (("sigma_export", ex, 0), ("sigma_import", im, len(ex) - 1)):
+        m = len(held)
+        pick = np.zeros((m, len(free)))
         for i in range(1, m):
             pick[i, low + i - 1] = 1.0
         contrast = pick - pick.mean(0)
         mean = contrast @ beta
         error = np.sqrt(np.maximum(np.einsum("ij,jk,ik->i", contrast, cov, contrast), 0))
-        out[name] = pd.Series(np.maximum(math.pi / 2 * (mean - (mean.min() + 2 * error)), 0), index=levels)
+        out[name] = pd.Series(np.maximum(math.pi / 2 * (mean - (mean.min() + 2 * error)), 0), index=held)
     return pd.DataFrame(out).rename_axis("country").reset_index()

@@ -1,11 +1,16 @@
-"""Supply-vulnerability indicators over observations ``(freq, reporter, product, flow, indicators, TIME_PERIOD, partner, OBS_VALUE)``."""
+"""Supply-vulnerability indicators over observations ``(freq, reporter, product, flow, indicators, TIME_PERIOD, partner, OBS_VALUE)``.
+
+All indicators are expressions over the same few sums. Observations, one row a partner, are aggregated
+once, with map-side combining, to one row a cell. Cells of imports meet the cell of exports of the same
+reporter, product and period in one join.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewinds.functions.exprs import ratio
@@ -13,111 +18,80 @@ from tradewinds.operators.relational import individual
 
 
 @dataclass(frozen=True)
-class IndicatorConfig:
-    keys: tuple[str, ...] = ("freq", "reporter", "product", "flow", "indicators", "TIME_PERIOD")
+class Layout:
+    """Names of columns, and codes of flows and of partners that stand for several."""
+
+    cell: tuple[str, ...] = ("freq", "reporter", "product", "flow", "indicators", "TIME_PERIOD")
+    flow: str = "flow"
     partner: str = "partner"
     value: str = "OBS_VALUE"
-    flow: str = "flow"
-    world: str = "WORLD"
-    extra: str = "EXT_EU"
-    aggregates: tuple[str, ...] = ("WORLD", "QW", "EXT_EU", "INT_EU27_2020")
-    import_flow: int = 1
-    export_flow: int = 2
+    inward: int = 1
+    outward: int = 2
+    everyone: str = "WORLD"
+    outside: str = "EXT_EU"
+    several: tuple[str, ...] = ("WORLD", "QW", "EXT_EU", "INT_EU27_2020")
     reject_underscore: bool = True
 
+    def columns(self) -> list[str]:
+        return [*self.cell, self.partner, self.value]
 
-class Metric:
-    """A table-to-table function: observations to one value a cell."""
-
-    name = ""
-
-    def __init__(self, config: IndicatorConfig = IndicatorConfig()):
-        self.config = config
-
-    def required_columns(self) -> list[str]:
-        return [*self.config.keys, self.config.partner, self.config.value]
-
-    def partner_values(self, data: DataFrame, code: str, alias: str, keys: Sequence[str]) -> DataFrame:
-        c = self.config
-        return data.where(F.col(c.partner) == code).select(*keys, F.col(c.value).alias(alias))
-
-    def compute(self, data: DataFrame) -> DataFrame:
-        raise NotImplementedError
 
+COMEXT = Layout()
 
-class Concentration(Metric):
-    """HHI: the sum of squared shares of individual partners in the world total."""
 
-    name = "HHI"
+def _measures(layout: Layout) -> Mapping[str, Column]:
+    """Each indicator over a cell's sums; null where it has none.
 
-    def compute(self, data: DataFrame) -> DataFrame:
-        c = self.config
-        one = data.where(individual(F.col(c.partner), c.aggregates, c.reject_underscore))
-        share = ratio(F.col(c.value), F.col("_world"))
-        joined = one.join(self.partner_values(data, c.world, "_world", c.keys), list(c.keys))
-        return joined.groupBy(*c.keys).agg(F.sum(share * share).alias(self.name))
+    HHI is the sum of the partners' squared shares in the total, CDI2 the share of imports from outside, and
+    CDI3 imports from outside over all exports.
+    """
+    inward = F.col(layout.flow) == layout.inward
+    return {
+        "HHI": ratio(F.col("_squares"), F.col("_total") * F.col("_total")),
+        "CDI2": F.when(inward, ratio(F.col("_outside"), F.col("_total"))),
+        "CDI3": F.when(inward, ratio(F.col("_outside"), F.col("_sold"))),
+    }
 
 
-class ExtraDependence(Metric):
-    """CDI2: the extra-regional share of imports."""
+NAMES = ("HHI", "CDI2", "CDI3")
 
-    name = "CDI2"
 
-    def compute(self, data: DataFrame) -> DataFrame:
-        c = self.config
-        imports = data.where(F.col(c.flow) == c.import_flow)
-        pair = self.partner_values(imports, c.extra, "_extra", c.keys).join(self.partner_values(imports, c.world, "_world", c.keys), list(c.keys))
-        return pair.select(*c.keys, ratio(F.col("_extra"), F.col("_world")).alias(self.name))
+def cells(observations: DataFrame, layout: Layout = COMEXT) -> DataFrame:
+    """One row a cell: ``_squares`` of single partners, ``_total`` and ``_outside`` as declared, ``_sold`` of the export cell."""
+    if lack := [c for c in layout.columns() if c not in observations.columns]:
+        raise ValueError(f"missing columns {lack}; there are {observations.columns}")
+    v, partner = F.col(layout.value), F.col(layout.partner)
+    rows = observations.dropna(subset=[layout.partner, layout.value])
+    single = individual(partner, layout.several, layout.reject_underscore)
+    sums = rows.groupBy(*layout.cell).agg(
+        F.sum(F.when(single, v * v)).alias("_squares"),
+        F.max(F.when(partner == layout.everyone, v)).alias("_total"),
+        F.max(F.when(partner == layout.outside, v)).alias("_outside"),
+    )
+    beside = [c for c in layout.cell if c != layout.flow]
+    sold = sums.where(F.col(layout.flow) == layout.outward).select(*beside, F.col("_total").alias("_sold"))
+    return sums.join(sold, beside, "left")
 
 
-class Substitutability(Metric):
-    """CDI3: extra-regional imports over all exports, attached to the import cell."""
+def indicators(observations: DataFrame, names: Sequence[str] = NAMES, layout: Layout = COMEXT) -> DataFrame:
+    """All cells with a column for each named indicator."""
+    known = _measures(layout)
+    if unknown := [n for n in names if n not in known]:
+        raise ValueError(f"unknown indicators {unknown}; there are {list(known)}")
+    return cells(observations, layout).select(*layout.cell, *(known[n].alias(n) for n in names))
 
-    name = "CDI3"
 
-    def compute(self, data: DataFrame) -> DataFrame:
-        c = self.config
-        keys = [k for k in c.keys if k != c.flow]
-        extra = self.partner_values(data.where(F.col(c.flow) == c.import_flow), c.extra, "_extra", keys)
-        world = self.partner_values(data.where(F.col(c.flow) == c.export_flow), c.world, "_world", keys)
-        out = extra.join(world, keys).withColumn(c.flow, F.lit(c.import_flow)).withColumn(self.name, ratio(F.col("_extra"), F.col("_world")))
-        return out.select(*c.keys, self.name)
+def indicator(observations: DataFrame, name: str, layout: Layout = COMEXT) -> DataFrame:
+    """The cells that have a value of one indicator."""
+    return indicators(observations, [name], layout).where(F.col(name).isNotNull())
 
 
-METRICS = (Concentration, ExtraDependence, Substitutability)
-
-
-def check_columns(data: DataFrame, metrics: Sequence[Metric]) -> None:
-    missing = {m.name: lack for m in metrics if (lack := [x for x in m.required_columns() if x not in data.columns])}
-    if missing:
-        raise ValueError(f"missing columns {missing}; there are {data.columns}")
-
-
-def indicators(data: DataFrame, metrics: Sequence[Metric] | None = None, config: IndicatorConfig = IndicatorConfig()) -> DataFrame:
-    """All cells with a column for each metric; null where a metric has no value."""
-    metrics = [m(config) for m in METRICS] if metrics is None else metrics
-    check_columns(data, metrics)
-    data = data.dropna(subset=[config.partner, config.value])
-    grid = data.select(*config.keys).distinct()
-    for m in metrics:
-        grid = grid.join(m.compute(data), list(config.keys), "left")
-    return grid
-
-
-def indicators_onepass(data: DataFrame, config: IndicatorConfig = IndicatorConfig()) -> DataFrame:
-    """The three indicators by one aggregation a cell and one join of exports: for unique partner rows."""
-    c = config
-    data = data.dropna(subset=[c.partner, c.value])
-    v, p = F.col(c.value), F.col(c.partner)
-    one = individual(p, c.aggregates, c.reject_underscore)
-    cells = data.groupBy(*c.keys).agg(F.sum(F.when(one, v * v)).alias("_sq"), F.max(F.when(p == c.world, v)).alias("_world"), F.max(F.when(p == c.extra, v)).alias("_extra"))
-    keys = [k for k in c.keys if k != c.flow]
-    exports = cells.where(F.col(c.flow) == c.export_flow).select(*keys, F.col("_world").alias("_out"))
-    imported = F.col(c.flow) == c.import_flow
-    out = cells.join(exports, keys, "left")
-    return out.select(*c.keys, ratio(F.col("_sq"), F.col("_world") * F.col("_world")).alias("HHI"), F.when(imported, ratio(F.col("_extra"), F.col("_world"))).alias("CDI2"), F.when(imported, ratio(F.col("_extra"), F.col("_out"))).alias("CDI3"))
+def indicators_of_pairs(observations: DataFrame, pairs: DataFrame, layout: Layout = COMEXT) -> DataFrame:
+    """The indicators of the (reporter, product) pairs only: a semi-join before any aggregation."""
+    return indicators(observations.join(pairs, ["reporter", "product"], "left_semi"), layout=layout)
 
 
-def indicators_of_pairs(data: DataFrame, pairs: DataFrame, config: IndicatorConfig = IndicatorConfig()) -> DataFrame:
-    """The indicators of the (reporter, product) pairs only: a semi-join before any aggregation."""
-    return indicators(data.join(pairs, ["reporter", "product"], "left_semi"), config=config)
+def overview(observations: DataFrame, layout: Layout = COMEXT) -> DataFrame:
+    """``flow, n, partners``: rows and single partners of each flow."""
+    rows = observations.where(~F.col(layout.partner).isin(list(layout.several)))
+    return rows.groupBy(layout.flow).agg(F.count("*").alias("n"), F.countDistinct(layout.partner).alias("partners"))

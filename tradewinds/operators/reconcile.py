@@ -187,7 +187,7 @@ def nes_shares(flows: DataFrame, shortfall: DataFrame) -> DataFrame:
 
 
 def nes_safeguard(shares: DataFrame) -> DataFrame:
-    """Shares of the groups whose mirror gap strictly shrinks."""
+    """Shares of the groups whose mirror gap shrinks, by more than the rounding of sums whose order isn't fixed (12 places)."""
     before = F.abs(F.ln(F.col("v_m_fob") / F.col("v_x")))
     after = F.abs(F.ln(F.col("v_m_fob") / (F.col("v_x") + F.col("addition"))))
     gaps = shares.groupBy(*GROUP).agg(F.sum(before).alias("before"), F.sum(after).alias("after"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,8 +43,6 @@ def check_duplicates(df: DataFrame, keys: Sequence[str], policy: str = "raise")
         if some and policy == "raise":
             raise ValueError(f"rows repeat the key {list(keys)}: {some}")
         if some:
-            import warnings
-
             warnings.warn(f"rows repeat the key {list(keys)}: {some}", stacklevel=2)
     return df
 
@@ -54,10 +53,16 @@ def sum_duplicates(df: DataFrame, dimensions: Sequence[str], measures: Sequence[
 
 
 def filter_codes(codes: DataFrame, column: str, include=None, exclude=None, include_regex=None, exclude_regex=None) -> DataFrame:
-    """Distinct codes: in the allow-list or whole matches, then not in the deny-list and no whole match, sorted."""
+    """Distinct codes: in the allow-list or whole matches, then not in the deny-list and no whole match, sorted.
+
+    Codes of the allow-list that aren't there are warned of.
+    """
     code = F.col(column)
     out = codes.select(column).where(code.isNotNull()).distinct()
     if include is not None:
+        held = {r[0] for r in out.where(code.isin(list(include))).collect()}  # at most the allow-list
+        if absent := sorted(set(include) - held):
+            warnings.warn(f"{column} has no {absent}", stacklevel=2)
         out = out.where(code.isin(list(include)))
     if include_regex is not None:
         out = out.where(full_match(code, include_regex))
@@ -69,10 +74,12 @@ def filter_codes(codes: DataFrame, column: str, include=None, exclude=None, incl
 
 
 def post_filter(df: DataFrame, wanted: dict[str, Sequence]) -> DataFrame:
-    """Rows whose value is in the list of each named column that exists."""
+    """Rows whose value is in the list of each named column; a column that isn't there is warned of."""
     for name, values in wanted.items():
         if name in df.columns:
             df = df.where(F.col(name).isin(list(values)))
+        else:
+            warnings.warn(f"no column {name} to filter by; there are {df.columns}", stacklevel=2)
     return df
 
 

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 from collections.abc import Callable
+from datetime import date
+from urllib.parse import quote
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewinds.functions.exprs import number
 from tradewinds.operators import estimation, indicators, reconcile, relational
 from tradewinds.operators.reconcile import GROUP, KEYS
 from tradewinds.plans import crosswalk as cw
-from tradewinds.sources import parsers
+from tradewinds.plans import runs
+from tradewinds.scratch import shared_dir, written
+from tradewinds.sources import parsers, planning, responses
 from tradewinds.sources.lake import Lake
+from tradewinds.sources.requests import Request, whole_url
 
 _J = """j AS (
   SELECT s_nationkey AS sk, c_nationkey AS ck, 'N' || s_nationkey AS exporter, 'N' || c_nationkey AS importer, p_brand AS product, CAST(year(o_orderdate) AS INTEGER) AS year,
@@ -106,58 +110,77 @@ def _r(columns: str, places: int = 6) -> str:
 _CELL = 'freq, reporter, product, flow, indicators, "TIME_PERIOD"'
 
 
-@query("vuln_all", f'WITH {_OBS} SELECT {_CELL}, {_r(chr(34) + "HHI" + chr(34) + " " + chr(34) + "CDI2" + chr(34) + " " + chr(34) + "CDI3" + chr(34))} FROM out')
+_EACH = _r('"HHI" "CDI2" "CDI3"')
+
+
+@query("vuln_all", f"WITH {_OBS} SELECT {_CELL}, {_EACH} FROM out")
 def vuln_all(spark, sf):
     """All three indicators of every cell."""
     return _rounded(indicators.indicators(cw.observations(spark, sf)))
 
 
-@query("vuln_hhi_onepass", ORACLES["vuln_all"])
-def vuln_onepass(spark, sf):
-    """The same by one aggregation a cell."""
-    return _rounded(indicators.indicators_onepass(cw.observations(spark, sf)))
-
-
-def _one_metric(metric) -> None:
-    where = "" if metric.name == "HHI" else ' WHERE flow = 1'
+def _one_indicator(name: str) -> None:
+    where = "" if name == "HHI" else f' WHERE flow = 1 AND "{name}" IS NOT NULL'
 
-    @query(f"vuln_{metric.name.lower()}", f'WITH {_OBS} SELECT {_CELL}, round("{metric.name}", 6) AS "{metric.name}" FROM out{where}' + (f' AND "{metric.name}" IS NOT NULL' if where else ""))
+    @query(f"vuln_{name.lower()}", f'WITH {_OBS} SELECT {_CELL}, round("{name}", 6) AS "{name}" FROM out{where}')
     def run(spark, sf):
-        return _rounded(metric().compute(cw.observations(spark, sf)))
+        return _rounded(indicators.indicator(cw.observations(spark, sf), name))
 
 
-for _m in indicators.METRICS:
-    _one_metric(_m)
+for _name in indicators.NAMES:
+    _one_indicator(_name)
 
 
-@query("vuln_incremental_pairs", f'WITH {_OBS} SELECT {_CELL}, {_r(chr(34) + "HHI" + chr(34) + " " + chr(34) + "CDI2" + chr(34) + " " + chr(34) + "CDI3" + chr(34))} FROM out WHERE CAST(substr(reporter, 2) AS INTEGER) % 3 = 0')
+@query("vuln_incremental_pairs", f'WITH {_OBS}, stale AS (SELECT reporter, product FROM one GROUP BY ALL HAVING max(t) FILTER (WHERE v < 30000) IS NULL OR max(t) FILTER (WHERE v < 30000) < max(t)) SELECT {_CELL}, {_EACH} FROM out SEMI JOIN stale USING (reporter, product)')
 def vuln_incremental(spark, sf):
-    """Indicators of the stale (reporter, product) pairs: those of every third reporter were never computed."""
+    """Indicators of the stale (reporter, product) pairs: small trade stands for what was computed, all for downloads."""
     obs = cw.observations(spark, sf)
-    pairs = obs.select("reporter", "product").distinct().withColumn("last_download", F.lit(2))
-    done = pairs.where(F.substring("reporter", 2, 9).cast("int") % 3 != 0).select("reporter", "product", F.lit(3).alias("last_computed"))
-    return _rounded(indicators.indicators_of_pairs(obs, relational.stale_pairs(pairs, done, ["reporter", "product"])))
+    last = obs.where(~F.col("partner").isin("WORLD", "EXT_EU")).groupBy("reporter", "product")
+    when = last.agg(F.max("TIME_PERIOD").alias("last_download"), F.max(F.when(F.col("OBS_VALUE") < 30000, F.col("TIME_PERIOD"))).alias("last_computed"))
+    pairs = relational.stale_pairs(when.drop("last_computed"), when.where("last_computed IS NOT NULL").drop("last_download"), ["reporter", "product"])
+    return _rounded(indicators.indicators_of_pairs(obs, pairs))
 
 
 _K = "exporter, importer, product, year"
 
 
+def _lines(spark, sf):
+    """Order lines as flows, joined and written once."""
+    return written(cw.flows(spark, sf), "lines")
+
+
+def _mirror_of(lines, spark, sf):
+    """Mirror flows, written once: all that follows reads them several times."""
+    return written(reconcile.mirror(cw.declarations(lines), cw.countries(spark, sf), cw.CONFIG), "mirror")
+
+
 def _mirror(spark, sf):
-    return reconcile.mirror(cw.declarations(spark, sf), cw.countries(spark, sf), cw.CONFIG)
+    return _mirror_of(_lines(spark, sf), spark, sf)
 
 
-def _tons(spark, sf):
-    flows = _mirror(spark, sf)
+def _tons_of(flows):
     return reconcile.tonnage(flows, reconcile.conversion_rates(flows, cw.CONFIG), cw.CONFIG)
 
 
-def _design(spark, sf):
-    tons = _tons(spark, sf)
+def _tons(spark, sf):
+    return _tons_of(_mirror(spark, sf))
+
+
+def _design_of(flows, spark, sf):
+    tons = written(_tons_of(flows), "tonnes")
     return reconcile.design(tons, reconcile.gravity(*cw.gravity_inputs(spark, sf)), reconcile.unit_values(tons))
 
 
+def _design(spark, sf):
+    return _design_of(_mirror(spark, sf), spark, sf)
+
+
+def _fob_of(flows, spark, sf):
+    return reconcile.fobized(_design_of(flows, spark, sf).withColumn("tau", F.exp(0.002 * F.col("ln_d") + 0.005 * F.col("contig")) - 1), cw.CONFIG)
+
+
 def _fob(spark, sf):
-    return reconcile.fobized(_design(spark, sf).withColumn("tau", F.exp(0.002 * F.col("ln_d") + 0.005 * F.col("contig")) - 1), cw.CONFIG)
+    return _fob_of(_mirror(spark, sf), spark, sf)
 
 
 def _sigma(spark, sf):
@@ -165,8 +188,14 @@ def _sigma(spark, sf):
     return cw.table(spark, sf, "nation").where(n != 5).select(F.concat(F.lit("N"), n.cast("string")).alias("country"), (0.05 * (n % 7)).alias("sigma_export"), (0.03 * (n % 5)).alias("sigma_import"))
 
 
-def _nes(spark, sf):
-    return reconcile.nes_declarations(cw.declarations(spark, sf), cw.CONFIG)
+def _nes(lines):
+    return reconcile.nes_declarations(cw.declarations(lines), cw.CONFIG)
+
+
+def _fob_and_nes(spark, sf):
+    """Flows without freight, written once, and unspecified exports, of the same lines."""
+    lines = _lines(spark, sf)
+    return written(_fob_of(_mirror_of(lines, spark, sf), spark, sf), "fob"), _nes(lines)
 
 
 @query("mirror_flows", f"WITH {_DECL} SELECT {_K}, {_r('v_x nw_x q_x v_m nw_m q_m', 7)}, unit_x, unit_m FROM mirror")
@@ -176,12 +205,12 @@ def mirror_flows(spark, sf):
 
 @query("nes_declarations", f"WITH {_DECL} SELECT exporter, product, year, round(sum(value), 7) AS value, count(*) AS n FROM decl WHERE flow = 'X' AND code = 899 GROUP BY ALL")
 def nes_declarations(spark, sf):
-    return _rounded(_nes(spark, sf).groupBy(*GROUP).agg(F.sum("value").alias("value"), F.count("*").alias("n")), 7)
+    return _rounded(_nes(cw.flows(spark, sf)).groupBy(*GROUP).agg(F.sum("value").alias("value"), F.count("*").alias("n")), 7)
 
 
 @query("dominant_unit", f"WITH {_DECL} SELECT {_K}, unit AS unit_m, round(q, 7) AS q_m FROM sides WHERE flow = 'M'")
 def dominant_unit(spark, sf):
-    rows = reconcile.declared(cw.declarations(spark, sf)).where("flowCode = 'M'")
+    rows = reconcile.declared(cw.declarations(cw.flows(spark, sf))).where("flowCode = 'M'")
     return _rounded(reconcile.side(rows, "m").select(*KEYS, "unit_m", "q_m"), 7)
 
 
@@ -260,12 +289,12 @@ def reconciled_fixed_sigma(spark, sf):
 
 @query("nes_shortfall", f"WITH {_DECL} SELECT exporter, product, year, {_r('v_nes shortfall realloc', 7)} FROM short")
 def nes_shortfall(spark, sf):
-    return _rounded(reconcile.nes_shortfall(_fob(spark, sf), _nes(spark, sf)).select(*GROUP, "v_nes", "shortfall", "realloc"), 7)
+    return _rounded(reconcile.nes_shortfall(*_fob_and_nes(spark, sf)).select(*GROUP, "v_nes", "shortfall", "realloc"), 7)
 
 
 def _shares(spark, sf):
-    flows = _fob(spark, sf)
-    short = reconcile.nes_shortfall(flows, _nes(spark, sf))
+    flows, nes = _fob_and_nes(spark, sf)
+    short = written(reconcile.nes_shortfall(flows, nes), "shortfall")
     return flows, short, reconcile.nes_shares(flows, short)
 
 
@@ -285,30 +314,27 @@ def nes_residual(spark, sf):
     return _rounded(reconcile.nes_residual(flows, short, reconcile.nes_safeguard(shares)), 7)
 
 
-def _fitted(spark, sf):
-    rows = _design(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)  # read by five passes of the fit
+def _fitted_of(flows, spark, sf):
+    rows = written(_design_of(flows, spark, sf), "design")  # read by five passes of the fit
     return estimation.fit_freight(reconcile.freight_sample(rows)).predict(rows)
 
 
 @query("freight_rates")
 def freight_rates(spark, sf):
     """Fitted freight rates of all flows."""
-    return _fitted(spark, sf).select(*KEYS, "tau")
+    return _fitted_of(_mirror(spark, sf), spark, sf).select(*KEYS, "tau")
 
 
 @query("baci_mirror_two_step")
 def two_step(spark, sf):
     """Mirror flows in tonnes with their freight rates, before reconciliation."""
-    return _fitted(spark, sf).select(*KEYS, "v_x", "v_m", "q_x_t", "q_m_t", "tau")
+    return _fitted_of(_mirror(spark, sf), spark, sf).select(*KEYS, "v_x", "v_m", "q_x_t", "q_m_t", "tau")
 
 
 @query("baci_full")
 def baci_full(spark, sf):
     """All six steps: mirror, tonnes, freight, quality, reconciliation, unspecified partners."""
-    flows = reconcile.fobized(_fitted(spark, sf), cw.CONFIG).persist(StorageLevel.MEMORY_AND_DISK)
-    sigma = {t: spark.createDataFrame(estimation.fit_quality(reconcile.reporting_distance(flows, t))) for t in ("value", "quantity")}
-    out = reconcile.with_nes(reconcile.reconciled(flows, sigma), _nes(spark, sf))
-    return out.where(F.col("reconciled_value").isNotNull()).select(*reconcile.columns_of_result())
+    return runs.reconciliation(cw.declarations(_lines(spark, sf)), cw.countries(spark, sf), *cw.gravity_inputs(spark, sf), cw.CONFIG)[0]
 
 
 @query("duplicate_lines", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
@@ -345,20 +371,18 @@ def last_n_per_series(spark, sf):
 
 @query("flow_overview", f"WITH {_OBS} SELECT flow, count(*) + 0 AS n, count(DISTINCT partner) AS partners FROM one GROUP BY flow")
 def flow_overview(spark, sf):
-    obs = cw.observations(spark, sf).where(~F.col("partner").isin("WORLD", "EXT_EU"))
-    return obs.groupBy("flow").agg(F.count("*").alias("n"), F.countDistinct("partner").alias("partners"))
+    return indicators.overview(cw.observations(spark, sf))
 
 
 @query("top_cells", f'WITH {_OBS} SELECT reporter, product, flow, "TIME_PERIOD", round("HHI", 6) AS "HHI" FROM out ORDER BY round("HHI", 6) DESC, reporter, product, flow, "TIME_PERIOD" LIMIT 10')
 def top_cells(spark, sf):
-    cells = _rounded(indicators.Concentration().compute(cw.observations(spark, sf))).select("reporter", "product", "flow", "TIME_PERIOD", "HHI")
+    cells = _rounded(indicators.indicator(cw.observations(spark, sf), "HHI")).select("reporter", "product", "flow", "TIME_PERIOD", "HHI")
     return cells.orderBy(F.desc("HHI"), "reporter", "product", "flow", "TIME_PERIOD").limit(10)
 
 
 @query("period_range", "SELECT strftime(d, '%Y%m') AS period FROM (SELECT unnest(generate_series(DATE '1994-01-01', DATE '1998-12-01', INTERVAL 1 MONTH)) AS d)")
 def period_range(spark, sf):
-    months = F.sequence(F.to_date(F.lit("1994-01-01")), F.to_date(F.lit("1998-12-01")), F.expr("INTERVAL 1 MONTH"))
-    return spark.range(1).select(F.explode(months).alias("d")).select(F.date_format("d", "yyyyMM").alias("period"))
+    return spark.createDataFrame([(p,) for p in planning.periods(date(1994, 1, 1), date(1998, 12, 31), "M")], "period string")
 
 
 @query("period_intersection", f"WITH {_J} SELECT DISTINCT CAST(year AS VARCHAR) AS period FROM j WHERE year BETWEEN 1996 AND 2010")
@@ -367,9 +391,9 @@ def period_intersection(spark, sf):
     return cw.flows(spark, sf).select(F.col("year").cast("string").alias("period")).intersect(years)
 
 
-@query("union_subresults", "SELECT o_orderkey AS k, o_totalprice AS total, NULL::INTEGER AS nation FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT c_custkey, NULL, c_nationkey FROM customer")
+@query("union_subresults", "SELECT o_orderkey AS k, o_totalprice AS total, NULL::INTEGER AS nation FROM orders UNION ALL SELECT c_custkey, NULL, c_nationkey FROM customer")
 def union_subresults(spark, sf):
-    a = cw.table(spark, sf, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("total"))
+    a = cw.table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("total"))
     b = cw.table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nation"))
     return a.unionByName(b, allowMissingColumns=True)
 
@@ -393,6 +417,30 @@ def tsv_unpivot(spark, sf):
     return parsers.tsv_to_rows(wide.select(F.concat(F.lit("A,N"), "nk").alias("freq,geo\\TIME_PERIOD"), *cells), ["freq", "geo"])
 
 
+def _inline(kind: str, body: str) -> Request:
+    """A request whose URL holds its response, so that it needs no network."""
+    return whole_url(f"data:{kind},{quote(body, safe='')}")
+
+
+@query("landed_csv", f"WITH {_TOTALS} SELECT 'N' || nk AS geo, CAST(y AS VARCHAR) AS \"TIME_PERIOD\", v AS \"OBS_VALUE\" FROM totals")
+def landed_csv(spark, sf):
+    """CSV responses, one for each nation, landed by the data source in lanes, then parsed and typed."""
+    held = _totals(spark, sf).groupBy("nk").agg(F.array_join(F.collect_list(F.concat_ws(",", F.concat(F.lit("N"), "nk"), "y", "v")), "\n").alias("lines"))
+    wanted = [_inline("text/csv", "geo,TIME_PERIOD,OBS_VALUE\n" + r["lines"]) for r in held.collect()]  # a request for each nation
+    landed = responses.land(spark, wanted, f"{shared_dir(spark)}/landed-{uuid.uuid4().hex}", lanes=4, quota={"requests": 1000, "unit": "seconds"})
+    return responses.csv_rows(landed, ["geo", "TIME_PERIOD", "OBS_VALUE"]).withColumn("OBS_VALUE", number(F.col("OBS_VALUE")))
+
+
+@query("landed_declarations", f"WITH {_TOTALS} SELECT 'N' || nk AS \"reporterISO\", sum(n) AS n, round(sum(v), 2) AS \"primaryValue\" FROM totals GROUP BY ALL")
+def landed_declarations(spark, sf):
+    """JSON responses of tariff lines, landed, exploded and summed by reporter."""
+    line = F.struct(F.concat(F.lit("N"), "nk").alias("reporterISO"), F.col("n"), F.col("v").alias("primaryValue"))
+    held = _totals(spark, sf).groupBy("nk").agg(F.to_json(F.struct(F.collect_list(line).alias("data"))).alias("body"))
+    landed = responses.land(spark, [_inline("application/json", r["body"]) for r in held.collect()], f"{shared_dir(spark)}/landed-{uuid.uuid4().hex}", lanes=4)
+    rows = relational.sum_duplicates(responses.declaration_rows(landed, "reporterISO string, n long, primaryValue double"), ["reporterISO"], ["n", "primaryValue"])
+    return _rounded(rows, 2)
+
+
 @query("jsonstat_decode", f"WITH {_TOTALS} SELECT 'N' || nk AS geo, CAST(y AS VARCHAR) AS time, n::DOUBLE AS \"value\" FROM totals")
 def jsonstat_decode(spark, sf):
     """A payload for each nation, with cells numbered over nations and years, to rows."""
@@ -414,8 +462,9 @@ def sdmxjson_decode(spark, sf):
 @query("identity_keys", "SELECT p_size, 'TPC::part::*::brand=' || string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) || ';size=' || p_size AS identity FROM part GROUP BY p_size")
 def identity_keys(spark, sf):
     """One text for the request of each size's brands."""
-    brands = F.array_join(F.array_sort(F.collect_set("p_brand")), ",")
-    return cw.table(spark, sf, "part").groupBy("p_size").agg(F.concat(F.lit("TPC::part::*::brand="), brands, F.lit(";size="), F.col("p_size").cast("string")).alias("identity"))
+    rows = cw.table(spark, sf, "part").groupBy("p_size").agg(F.collect_set("p_brand").alias("brands")).collect()  # a code list for each size
+    keys = [(r["p_size"], planning.identity_key("TPC", "part", params={"size": r["p_size"], "brand": r["brands"], "none": None})) for r in rows]
+    return spark.createDataFrame(keys, "p_size int, identity string")
 
 
 def _seen(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -443,8 +492,7 @@ _LATEST = "SELECT user_id, event_type, event_id, round(value, 6) AS value FROM e
 
 def _upserted(spark: SparkSession, sf: str) -> Lake:
     """A lake with two versions of the latest event of each user and type: of early events, then of all."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tradewinds-")
-    lake, keys = Lake(spark, f"{root}/lake-{uuid.uuid4().hex}"), ["user_id", "event_type"]
+    lake, keys = Lake(spark, f"{shared_dir(spark)}/lake-{uuid.uuid4().hex}"), ["user_id", "event_type"]
     events = cw.table(spark, sf, "events").select(*keys, "event_id", "ts", F.round("value", 6).alias("value"))
     early = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
     for part in (events.where(early), events.where(~early)):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewinds.operators.reconcile import ReconcileConfig
+from tradewinds.scratch import written
 
 CONFIG = ReconcileConfig(non_cif=("N3",), fas=("N7",), excluded_pairs=(("N1", "N2"),))
 EUROPE = 3
@@ -27,9 +28,8 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where("sk <> ck").select("sk", "ck", F.concat(F.lit("N"), F.col("sk").cast("string")).alias("exporter"), F.concat(F.lit("N"), F.col("ck").cast("string")).alias("importer"), "product", "year", value.alias("v"), F.col("l_quantity").cast("double").alias("quantity"), F.col("l_tax").alias("tax"), F.col("l_returnflag").alias("flag"), F.col("l_linenumber").alias("line"), "size")
 
 
-def declarations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tariff-line declarations of exports, imports and totals with the world."""
-    f = flows(spark, sf_dir)
+def declarations(f: DataFrame) -> DataFrame:
+    """Tariff-line declarations of exports, imports and totals with the world, of ``flows``."""
     kg = F.col("quantity") * 1000
     nes, skip = F.col("line") == 7, (F.col("line") == 6) & (F.col("size") % 10 == 0)
     code = F.when(nes, 899).when(skip, 490).otherwise(F.col("ck") + 1).cast("int")
@@ -58,12 +58,15 @@ def gravity_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comext-shaped observations with partners, WORLD and EXT_EU."""
+    """Comext-shaped observations with partners, WORLD and EXT_EU.
+
+    Trade between two countries is one small table, written once: the totals are sums of it.
+    """
     f = flows(spark, sf_dir)
     both = F.explode(F.array(F.struct(F.lit(1).alias("flow"), F.col("importer").alias("reporter"), F.col("exporter").alias("partner"), F.col("sk").alias("pk")), F.struct(F.lit(2).alias("flow"), F.col("exporter").alias("reporter"), F.col("importer").alias("partner"), F.col("ck").alias("pk"))))
     rows = f.select("product", "year", "v", both.alias("b")).select("product", F.col("year").cast("string").alias("TIME_PERIOD"), "v", "b.*")
     by = ["reporter", "product", "flow", "TIME_PERIOD"]
-    one = rows.groupBy(*by, "partner", "pk").agg(F.sum("v").alias("v"))
+    one = written(rows.groupBy(*by, "partner", "pk").agg(F.sum("v").alias("v")), "observations")
     region = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("pk"), F.col("n_regionkey").alias("region"))
     extra = one.join(region, "pk").where(F.col("region") != EUROPE)
     total = lambda d, code: d.groupBy(*by).agg(F.sum("v").alias("v")).withColumn("partner", F.lit(code))

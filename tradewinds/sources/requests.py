@@ -20,6 +20,7 @@ OECD_FORMATS = {"csv_labels": "csvfilewithlabels", "csv": "csvfile", "json": "js
 ESTAT_ACCEPT = {"3.0": "application/vnd.sdmx.structure+xml;version=3.0.0", "2.1": "application/vnd.sdmx.structure+xml;version=2.1"}
 OECD_ACCEPT = {("json", "v1"): "application/vnd.sdmx.data+json; charset=utf-8; version=1.0", ("json", "v2"): "application/vnd.sdmx.data+json; charset=utf-8; version=2", ("csv", "v1"): "application/vnd.sdmx.data+csv; charset=utf-8", ("csv", "v2"): "application/vnd.sdmx.data+csv; charset=utf-8; version=2"}
 OECD_STRUCTURE_ACCEPT = "application/vnd.sdmx.structure+json; charset=utf-8; version=1.0"
+TIMEOUTS = {ESTAT: 90, COMEXT: 90, OECD: 60, DECLARATIONS: 120}
 ARTEFACTS = ("dataflow", "datastructure", "dataconstraint", "conceptscheme", "codelist")
 #: Arguments of the declarations service, in the order in which a request is halved.
 ARGUMENTS = {"flows": "flowCode", "products": "cmdCode", "reporters": "reporterCode", "partners": "partnerCode", "partners2": "partner2Code", "customs": "customsCode", "mot": "motCode", "periods": "period"}
@@ -36,6 +37,11 @@ class Request:
     halve: Sequence[str] = ()
     limit: int = 0
 
+    @property
+    def timeout(self) -> float:
+        """Seconds that the service gets to answer."""
+        return TIMEOUTS.get(self.base, 30)
+
 
 def estat_base(dataflow: str) -> str:
     """Trade statistics have an address of their own."""
@@ -147,3 +153,19 @@ def declarations(selection: Mapping[str, Iterable], *, type_code: str = "C", fre
         headers = {"Ocp-Apim-Subscription-Key": key} if key else {}
         out.append(Request(DECLARATIONS, f"data/v1/getTariffline/{type_code}/{frequency}/{classification}", {**now, "maxRecords": limit, "includeDesc": "true"}, headers, tuple(a for a in ARGUMENTS.values() if a in now), limit))
     return out
+
+
+def reference_listing() -> Request:
+    """Which categories of codes the declarations service has, and where."""
+    return Request(DECLARATIONS, "files/v1/app/reference/ListofReferences.json")
+
+
+def whole_url(url: str) -> Request:
+    """The request of a URL as it is."""
+    base, _, path = url.rpartition("/")
+    return Request(base, path)
+
+
+def declared_availability(reporters=None, type_code: str = "C", frequency: str = "A", classification: str = "HS") -> Request:
+    """Which periods of tariff lines there are, and when each was released."""
+    return Request(DECLARATIONS, f"public/v1/getDATariffline/{type_code}/{frequency}/{classification}", {"reporterCode": ",".join(planning.as_list(reporters))} if reporters else {})

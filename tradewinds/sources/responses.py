@@ -7,7 +7,6 @@ repeats its own lane, and no later action asks the service again.
 
 from __future__ import annotations
 
-import csv
 import importlib
 import io
 import json
@@ -16,6 +15,8 @@ import warnings
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import asdict
 
+import pyarrow as pa
+import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -39,7 +40,7 @@ def _texts(request: dict, get, quota: Quota | None) -> Iterator[tuple[str, str]]
         if quota:
             quota.acquire()
         try:
-            body = get(url, request["headers"])
+            body = get(url, request["headers"], request["timeout"])
         except NoRecords:
             return
         name = next((n for n in request["halve"] if len(selection[n]) > 1), None)
@@ -101,7 +102,7 @@ def land(spark: SparkSession, requests: Sequence[Request], path: str, *, lanes:
 
     Nothing found is no error. ValueError if every request failed; a warning that counts them if some did.
     """
-    options = {"requests": json.dumps([asdict(r) for r in requests]), "lanes": str(lanes)}
+    options = {"requests": json.dumps([asdict(r) | {"timeout": r.timeout} for r in requests]), "lanes": str(lanes)}
     if quota:
         options["quota"] = json.dumps(quota)
     if transport:
@@ -119,22 +120,22 @@ def land(spark: SparkSession, requests: Sequence[Request], path: str, *, lanes:
 
 
 def csv_rows(responses: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The named columns of CSV responses as text, whatever their order in each; an empty cell is null."""
-
-    def rows(frames: Iterable) -> Iterator:
-        import pandas as pd
-
-        for frame in frames:
-            for body in frame["body"]:
-                held = []
-                for line in csv.DictReader(io.StringIO(body)):
-                    held.append([line.get(c) or None for c in columns])
-                    if len(held) == 10_000:
-                        yield pd.DataFrame(held, columns=list(columns), dtype=object)
-                        held = []
-                yield pd.DataFrame(held, columns=list(columns), dtype=object)
-
-    return responses.select("body").mapInPandas(rows, ", ".join(f"`{c}` string" for c in columns))
+    """The named columns of CSV responses as text, whatever their order in each; an empty cell is null.
+
+    Responses are parsed whole columns at a time; quoted cells may hold line feeds.
+    """
+    schema = pa.schema([(c, pa.string()) for c in columns])
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parse = pacsv.ParseOptions(newlines_in_values=True)
+        convert = pacsv.ConvertOptions(column_types=schema, include_columns=list(columns), include_missing_columns=True, strings_can_be_null=True, null_values=[""])
+        for batch in batches:
+            for body in batch.column(0).to_pylist():
+                if body.strip():
+                    table = pacsv.read_csv(io.BytesIO(body.encode()), parse_options=parse, convert_options=convert)
+                    yield from table.cast(schema).to_batches(max_chunksize=10_000)
+
+    return responses.select("body").mapInArrow(rows, ", ".join(f"`{c}` string" for c in columns))
 
 
 def declaration_rows(responses: DataFrame, schema: str) -> DataFrame:

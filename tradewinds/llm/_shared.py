@@ -1,42 +1,22 @@
-"""What the operators share: written intermediate tables and keyed streams of Arrow rows."""
+"""What the operators share: white space, sizes of partitions and keyed streams of Arrow rows."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewinds.scratch import delete, tables, written
+
+__all__ = ["NOT_SPACES", "SPACES", "by_key", "delete", "keyed_stream", "parts_for", "tables", "text_bytes", "written"]
+
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
 NOT_SPACES = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one is made only where none is set."""
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir", None) or spark.conf.get("tradewinds.scratch", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tradewinds-")
-        spark.conf.set("tradewinds.scratch", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again, as ``files`` files if given.
-
-    This cuts the lineage: a lost executor costs a re-read, not a recomputation, and Catalyst
-    knows the size of the table, so that it broadcasts it only below its threshold.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    (df.repartition(files) if files else df).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a column over all rows."""
     return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
@@ -82,11 +62,16 @@ def keyed_stream(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator
             pass
 
 
-def by_key(df: DataFrame, parts: int, keys: list[str], order: list[str], work: Callable, schema: str) -> DataFrame:
-    """Rows dealt by ``keys``, sorted by them and ``order``; ``work(key, pieces)`` yields record batches."""
+def by_key(df: DataFrame, parts: int, keys: list[str], order: list[str], work: Callable, schema: str, place: Column | None = None) -> DataFrame:
+    """Rows dealt by ``keys``, sorted by them and ``order``; ``work(key, pieces)`` yields record batches.
+
+    ``place`` is a number that goes with the keys: it deals them in turn, where a hash of few keys would
+    leave some partitions with several and others with none.
+    """
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, pieces in keyed_stream(batches, keys):
             yield from work(key, pieces)
 
-    return df.repartition(parts, *keys).sortWithinPartitions(*keys, *order).mapInArrow(task, schema)
+    dealt = df.repartition(parts, *keys) if place is None else df.repartitionById(parts, F.pmod(place, F.lit(parts)).cast("int"))
+    return dealt.sortWithinPartitions(*keys, *order).mapInArrow(task, schema)

@@ -23,7 +23,8 @@ block. No pairs of documents are formed.
 
 Nulls and ties: a null text is empty. A null doc_id is greater than every other and not smaller than
 itself; rows that repeat a doc_id don't remove each other's bytes. A text longer than a block is a
-block of its own, read whole; its grams are hashed in slices. An empty table gives an empty result.
+block of its own, read whole; its grams are hashed in slices. A run of one byte has an anchor at each,
+with 84 bytes of context. An empty table gives an empty result.
 Other columns are never read.
 """
 
@@ -37,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewinds.llm._shared import by_key, parts_for, text_bytes, written
@@ -485,7 +486,8 @@ def _ask_strings(buckets: int):
 def _grouped(rows: np.ndarray, low: np.ndarray, real: np.ndarray, every: bool) -> tuple[np.ndarray, ...]:
     """Which contexts have which strings: ``(context, left, right, group)``.
 
-    Those whose smallest id a smaller one has the string of; with ``every``, all occurrences of all groups.
+    With ``every``, all occurrences of all groups. Else each context once that is in a group of a smaller
+    id: as all its strings hold its gram, they cover what the longest on either side do.
     """
     order, at = classes(np.zeros(len(rows), np.int64), rows)
     one = rows[order[at]]
@@ -509,7 +511,11 @@ def _grouped(rows: np.ndarray, low: np.ndarray, real: np.ndarray, every: bool) -
     if not every:
         gone = some[owner] & (~real[context] | (best[owner] < low[context]))
         context, owner = context[gone], owner[gone]
-    names = names_of(one[groups.members[groups.starts[:-1]]], left, right) if every else np.zeros(len(groups), U)
+        by = np.argsort(context, kind="stable")
+        context, first = np.unique(context[by], return_index=True)
+        far = [np.maximum.reduceat(side[owner[by]], first) if len(first) else side[:0] for side in (left, right)]
+        return context, *far, np.zeros(len(context), U)
+    names = names_of(one[groups.members[groups.starts[:-1]]], left, right)
     return context, left[owner], right[owner], names[owner]
 
 
@@ -612,6 +618,11 @@ def _rest(buckets: int, texts: bool):
     return work
 
 
+def _turn() -> Column:
+    """A number for each block; those of blocks that one task writes follow each other."""
+    return F.expr("shiftright(block, 32) * 7919 + (block & 4294967295)")
+
+
 def _found(docs: DataFrame, every: bool) -> tuple[DataFrame, int, int]:
     """Blocks with all answers to them; the numbers of tasks and of buckets."""
     total = text_bytes(docs)
@@ -619,16 +630,16 @@ def _found(docs: DataFrame, every: bool) -> tuple[DataFrame, int, int]:
     buckets, files = 2 * parts, max(2, parts // 12)
     blocks = written(blocks_of(docs), "suffix-blocks")
     asked = blocks.mapInArrow(_ask_grams(buckets), _REPLY)
-    grams = written(by_key(asked, parts, ["bucket"], ["block"], _answer_grams, _REPLY), "suffix-grams", files)
-    known = by_key(blocks.unionByName(grams), parts, ["block"], ["role"], _ask_strings(buckets), _REPLY)
-    strings = written(by_key(known, parts, ["bucket"], ["block"], _answer_strings(every), _REPLY), "suffix-strings", files)
+    grams = written(by_key(asked, parts, ["bucket"], ["block"], _answer_grams, _REPLY, F.col("bucket")), "suffix-grams", files)
+    known = by_key(blocks.unionByName(grams), parts, ["block"], ["role"], _ask_strings(buckets), _REPLY, _turn())
+    strings = written(by_key(known, parts, ["bucket"], ["block"], _answer_strings(every), _REPLY, F.col("bucket")), "suffix-strings", files)
     return blocks.unionByName(grams).unionByName(strings), parts, buckets
 
 
 def remove_repeats(docs: DataFrame, texts: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` for each row; ``kept`` is null without ``texts``."""
     every, parts, buckets = _found(docs, False)
-    return by_key(every, parts, ["block"], ["role"], _rest(buckets, texts), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return by_key(every, parts, ["block"], ["role"], _rest(buckets, texts), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary", _turn())
 
 
 _PLACE = pa.schema([("group", pa.int64()), ("length", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64())])
@@ -669,4 +680,4 @@ def repeats(docs: DataFrame) -> DataFrame:
     chains of groups that overlap. Every string of ``LENGTH`` bytes that two documents have lies in one.
     """
     every, parts, buckets = _found(docs, True)
-    return by_key(every, parts, ["block"], ["role"], _places(buckets), "group long, length int, doc_id long, start long").distinct()
+    return by_key(every, parts, ["block"], ["role"], _places(buckets), "group long, length int, doc_id long, start long", _turn()).distinct()

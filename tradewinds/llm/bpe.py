@@ -1,17 +1,19 @@
 """Byte-level BPE by corpus-level merge replay.
 
-Texts are cut into pieces by the tokenizer's pattern. A task gathers the distinct pieces of its
-texts; a piece that is a token is done. The bytes of all others form one linked sequence, and an
-inverted index leads from the rank of a pair to the positions where it stands. Ranks are taken in
-rising order; a merge rewrites all its positions at once and looks up only the pairs to their left
-and right anew. A piece in which a merge made a pair of a lower rank, so that rising order over
-the corpus is not its own order, is merged alone by its own heap.
+Texts are cut into pieces by the tokenizer's pattern, block by block of about ``BLOCK_BYTES``. A piece that is
+a token is done; the distinct others of a block go to buckets by a hash, so that each piece of the corpus is
+merged in one place and once. There the bytes of all pieces form one linked sequence, and an inverted index
+leads from the rank of a pair to the positions where it stands. Ranks are taken in rising order; a merge
+rewrites all its positions at once and looks up only the pairs to their left and right anew. A piece in which
+a merge made a pair of a lower rank, so that rising order over the corpus is not its own order, is merged
+alone by its own heap. The tokens go back to the blocks that asked, whose texts wait as numbers of pieces.
 
-A task holds the distinct pieces of ``FLUSH_BYTES`` of text at a time, whatever the partition's
-size. Nothing is shuffled, and a lost task is only run again.
+What moves are the numbers, packed, and the distinct pieces of each block and their tokens; a piece that all
+texts have is one entry a block. A bucket replays ``FLUSH_BYTES`` of pieces at a time, whatever its size.
 
 Nulls and ties: a null text is empty and has no tokens. Rows are independent: repeated doc_ids and
-null doc_ids give a row each. An empty table gives an empty result.
+null doc_ids give a row each. A text longer than a block is a block of its own, and is cut lazily. An empty
+table gives an empty result. Other columns are never read.
 """
 
 from __future__ import annotations
@@ -20,15 +22,21 @@ import base64
 import hashlib
 import heapq
 import itertools
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-#: Text that a task gathers before it replays the merges on its pieces.
-FLUSH_BYTES = 24_000_000
+from tradewinds.llm._shared import by_key, parts_for, text_bytes, written
+
+#: Text of a block, text to a bucket, and pieces that merges are replayed on at once.
+BLOCK_BYTES, BUCKET_BYTES, FLUSH_BYTES = 4_000_000, 8_000_000, 24_000_000
 #: Texts of more characters are cut lazily.
 LAZY_CHARS = 4_000_000
 NONE = np.iinfo(np.int32).max
@@ -206,21 +214,6 @@ class Bpe:
             counts[k] = len(alone)
         return np.concatenate([*parts, ids[done:]]), counts
 
-    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of pieces of text, one after another, and where each begins, with the end."""
-        raw = [p.encode() for p in pieces]
-        whole = np.array([self.ranks.get(p, -1) for p in raw], np.int32)
-        rest = np.flatnonzero(whole < 0)
-        ids, counts = self.replay([raw[k] for k in rest.tolist()])
-        sizes = np.ones(len(raw), np.int64)
-        sizes[rest] = counts
-        starts = np.r_[0, np.cumsum(sizes)]
-        out = np.empty(starts[-1], np.int32)
-        out[starts[:-1][whole >= 0]] = whole[whole >= 0]
-        slots = np.repeat(starts[rest] - (np.cumsum(counts) - counts), counts) + np.arange(len(ids))
-        out[slots] = ids
-        return out, starts
-
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -228,41 +221,11 @@ class Bpe:
 class _Numbers(dict):
     """Pieces by the order in which they are first asked for."""
 
-    def __missing__(self, piece: str) -> int:
+    def __missing__(self, piece) -> int:
         self[piece] = k = len(self)
         return k
 
 
-def encode_texts(texts: Iterable[tuple[object, str | None]], bpe: Bpe, flush_bytes: int = FLUSH_BYTES) -> Iterator[tuple[object, np.ndarray]]:
-    """``(row, ids)`` for rows ``(row, text)``, in order."""
-    numbers, held, size = _Numbers(), [], 0
-
-    def flush() -> Iterator[tuple[object, np.ndarray]]:
-        flat, starts = bpe.encode_pieces(list(numbers))
-        counts = np.diff(starts)
-        for row, at in held:
-            n = counts[at]
-            first = np.repeat(starts[at] - (np.cumsum(n) - n), n)
-            yield row, flat[first + np.arange(len(first))]
-
-    for row, text in texts:
-        text = text or ""
-        if len(text) <= LAZY_CHARS:
-            at = np.fromiter(map(numbers.__getitem__, bpe.pattern.findall(text)), np.int32)
-        else:
-            found, pieces = (m.group() for m in bpe.pattern.finditer(text)), []
-            while some := list(itertools.islice(found, 100_000)):
-                pieces.append(np.fromiter(map(numbers.__getitem__, some), np.int32))
-            at = np.concatenate(pieces)
-        held.append((row, at))
-        size += len(text)
-        if size >= flush_bytes:
-            yield from flush()
-            numbers, held, size = _Numbers(), [], 0
-    if held:
-        yield from flush()
-
-
 _LOADED: dict[str, Bpe] = {}
 
 
@@ -273,18 +236,166 @@ def loaded(name: str) -> Bpe:
     return _LOADED[name]
 
 
-def _over(batches: Iterable[pa.RecordBatch], name: str, build) -> Iterator[pa.RecordBatch]:
-    """Rows of ``build(doc_id, ids, bpe)`` for batches of ``doc_id, text``."""
-    bpe = loaded(name)
-    texts = ((i, t) for b in batches for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-    rows: list = []
-    for doc_id, ids in encode_texts(texts, bpe):
-        rows.append(build(doc_id, ids, bpe))
-        if len(rows) == 2000:
+_REPLY = "block long, role int, bucket int, payload binary"
+_PACKED = pa.schema([("block", pa.int64()), ("role", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary())])
+
+
+def _batch(block: list, role: int, bucket: list, payload: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array([role] * len(block), pa.int32()), pa.array(bucket, pa.int32()), pa.array(payload, pa.binary())], schema=_PACKED)
+
+
+def _rows_of(pieces: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for b in pieces:
+        yield from zip(*(b.column(k).to_pylist() for k in ("block", "role", "bucket", "payload")), strict=True)
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers, each byte by byte, compressed."""
+    head = np.array([len(arrays), *(x for a in arrays for x in (len(a), a.itemsize))], np.int64)
+    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).tobytes() for a in arrays]
+    return zstandard.compress(b"".join([head.tobytes(), *planes]), 3)
+
+
+def _unpack(payload: bytes, *kinds: type) -> list[np.ndarray]:
+    raw = zstandard.decompress(payload)
+    at, out = 8 * (1 + 2 * len(kinds)), []
+    sizes = np.frombuffer(raw, np.int64, 2 * len(kinds), 8).tolist()
+    for kind, n, width in zip(kinds, sizes[::2], sizes[1::2], strict=True):
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * width, at).reshape(width, -1).T).view(kind).ravel())
+        at += n * width
+    return out
+
+
+def numbered(text: str, numbers: dict[str, int], pattern, lazy: int) -> np.ndarray:
+    """The numbers of a text's pieces, in order."""
+    if len(text) <= lazy:
+        return np.fromiter(map(numbers.__getitem__, pattern.findall(text)), np.int32)
+    found, parts = (m.group() for m in pattern.finditer(text)), []
+    while some := list(itertools.islice(found, 100_000)):
+        parts.append(np.fromiter(map(numbers.__getitem__, some), np.int32))
+    return np.concatenate(parts)
+
+
+def _cut(name: str, buckets: int):
+    """Batches of ``doc_id, text`` to blocks: the texts as numbers (role 0) and the pieces that they ask for (role 1)."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = loaded(name)
+        block, numbers, held, size = TaskContext.get().partitionId() << 32, _Numbers(), [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            raw = [p.encode() for p in numbers]
+            code = np.array([bpe.ranks.get(p, -1) for p in raw], np.int32)
+            rest = np.flatnonzero(code < 0)
+            to = np.array([zlib.crc32(raw[k]) % buckets for k in rest.tolist()], np.int64)
+            rest, to = rest[np.argsort(to, kind="stable")], np.sort(to)
+            code[rest] = -1 - np.arange(len(rest))  # the pieces that are asked for, in the order of buckets
+            flat = np.concatenate([np.zeros(0, np.int32), *(at for _, at in held)])
+            often = np.argsort(-np.bincount(flat, minlength=len(code)), kind="stable")  # small numbers for frequent pieces
+            place = np.empty(len(code), np.int32)
+            place[often] = np.arange(len(code))
+            real = np.array([i is not None for i, _ in held], np.uint8)
+            ids = np.array([i or 0 for i, _ in held], np.int64)
+            yield _batch([block], 0, [-1], [_pack(ids, real, np.array([len(at) for _, at in held], np.int64), code[often], place[flat])])
+            cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]).tolist() if len(to) else []
+            asked = [[raw[k] for k in rest[x:y].tolist()] for x, y in zip(cuts, [*cuts[1:], len(to)], strict=False)]
+            if asked:
+                yield _batch([block] * len(asked), 1, to[cuts].tolist(), list(map(_said, asked)))
+
+        for b in batches:
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                text = text or ""
+                if held and size + len(text) > BLOCK_BYTES:
+                    yield from flush()
+                    block, numbers, held, size = block + 1, _Numbers(), [], 0
+                held.append((doc_id, numbered(text, numbers, bpe.pattern, LAZY_CHARS)))
+                size += len(text)
+        if held:
+            yield from flush()
+
+    return task
+
+
+def _said(pieces: list[bytes]) -> bytes:
+    return _pack(np.array([len(p) for p in pieces], np.int32), np.frombuffer(b"".join(pieces), np.uint8))
+
+
+def _heard(payload: bytes) -> list[bytes]:
+    sizes, flat = _unpack(payload, np.int32, np.uint8)
+    raw, ends = flat.tobytes(), np.cumsum(sizes).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _merged(name: str):
+    """A bucket's pieces, each merged once, to the tokens of what each block asked for (role 1)."""
+
+    def work(key: tuple, pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, numbers, asked = loaded(name), _Numbers(), []
+        for block, _, _, payload in _rows_of(pieces):
+            some = _heard(payload)
+            asked.append((block, np.fromiter(map(numbers.__getitem__, some), np.int64, len(some))))
+        every = list(numbers)
+        ids, counts, low, size = [], [], 0, 0
+        for k, piece in enumerate(every):
+            size += len(piece)
+            if size >= FLUSH_BYTES or k + 1 == len(every):
+                part = bpe.replay(every[low : k + 1])
+                ids.append(part[0])
+                counts.append(part[1])
+                low, size = k + 1, 0
+        pool, n = np.concatenate(ids), np.concatenate(counts)
+        start = np.cumsum(n) - n
+        for block, at in asked:
+            yield _batch([block], 1, [key[0]], [_pack(n[at].astype(np.int32), pool[_spans(start[at], n[at])])])
+
+    return work
+
+
+def _spans(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``start[k], ..., start[k] + n[k] - 1`` for each k, one after another."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def _joined(name: str, build):
+    """A block's numbers and the tokens that it asked for to rows of ``build(doc_id, ids, bpe)``."""
+
+    def work(key: tuple, pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, payload, answers = loaded(name), b"", {}
+        for _, role, bucket, said in _rows_of(pieces):
+            if role == 0:
+                payload = said
+            else:
+                answers[bucket] = said
+        doc_ids, real, sizes, code, flat = _unpack(payload, np.int64, np.uint8, np.int64, np.int32, np.int32)
+        got = [_unpack(answers[k], np.int32, np.int32) for k in sorted(answers)]
+        counts = np.concatenate([np.zeros(0, np.int64), *(g[0] for g in got)])
+        pool = np.concatenate([np.zeros(0, np.int32), *(g[1] for g in got), code[code >= 0]])
+        whole = code >= 0
+        n, start = np.ones(len(code), np.int64), np.empty(len(code), np.int64)
+        n[~whole] = counts[-1 - code[~whole]]
+        start[~whole] = (np.cumsum(counts) - counts)[-1 - code[~whole]]
+        start[whole] = counts.sum() + np.arange(whole.sum())
+        rows, low = [], 0
+        for doc_id, is_real, size in zip(doc_ids.tolist(), real.tolist(), sizes.tolist(), strict=True):
+            at = flat[low : low + size]
+            rows.append(build(doc_id if is_real else None, pool[_spans(start[at], n[at])], bpe))
+            low += size
+            if len(rows) == 2000:
+                yield pa.RecordBatch.from_pylist(rows, build.schema)
+                rows = []
+        if rows:
             yield pa.RecordBatch.from_pylist(rows, build.schema)
-            rows = []
-    if rows:
-        yield pa.RecordBatch.from_pylist(rows, build.schema)
+
+    return work
+
+
+def _encoded(docs: DataFrame, name: str, build, schema: str) -> DataFrame:
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    parts = parts_for(text_bytes(docs), 2 * BUCKET_BYTES)
+    blocks = written(docs.mapInArrow(_cut(name, 2 * parts), _REPLY), "bpe-blocks")
+    tokens = by_key(blocks.where("role = 1"), parts, ["bucket"], ["block"], _merged(name), _REPLY, F.col("bucket"))
+    turn = F.expr("shiftright(block, 32) * 7919 + (block & 4294967295)")  # blocks of one writing task follow each other
+    return by_key(blocks.where("role = 0").unionByName(tokens), parts, ["block"], ["role"], _joined(name, build), schema, turn)
 
 
 class _Ids:
@@ -304,7 +415,7 @@ class _Digests:
 
 def encode(docs: DataFrame, name: str) -> DataFrame:
     """``doc_id, ids``: the tokens of each text by the rank file ``name``."""
-    return docs.select("doc_id", "text").mapInArrow(lambda b: _over(b, name, _Ids()), "doc_id long, ids array<int>")
+    return _encoded(docs, name, _Ids(), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, name: str) -> DataFrame:
@@ -321,4 +432,4 @@ def decode(encoded: DataFrame, name: str) -> DataFrame:
 
 def encode_digests(docs: DataFrame, name: str) -> DataFrame:
     """``encode`` and ``decode`` in one pass: counts and digests of the ids and of the decoded bytes."""
-    return docs.select("doc_id", "text").mapInArrow(lambda b: _over(b, name, _Digests()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _encoded(docs, name, _Digests(), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

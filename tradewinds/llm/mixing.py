@@ -12,9 +12,13 @@ Scale: nothing is ordered globally. Offsets in a stream and ranks in the schedul
 levels, over equal pieces first, so a source with a third of all rows spreads over all tasks. Only
 the table of sources, one row each, is ordered in one place.
 
+The mix is read in the order of slots: each document has the slots that take it, and a stretch of the
+schedule holds every source near its share.
+
 Nulls and ties: a null text has no words; a null source is a source of its own, the last. Rows
-without words are returned with nothing taken. Repeated rows are separate documents. An empty
-table gives an empty result.
+without words are returned with nothing taken. Repeated rows are separate documents. Only the size of
+a text moves, so texts may be of any length; a long one lies on several blocks. An empty table gives an
+empty result. Other columns are never read.
 """
 
 from __future__ import annotations
@@ -142,24 +146,32 @@ def taken_pieces(sized: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[Data
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken, starts`` for each row of ``docs``.
+    """``doc_id, source, size, source_size, target, taken, slots, first_slot`` for each row of ``docs``.
 
-    ``starts`` is how often the mix takes the document's first word, at most ``EPOCHS``.
+    ``slots`` are the slots of the schedule that take the document's first word, ``EPOCHS`` at most, in
+    order; ``first_slot`` is the first of all slots that take words of it, null if none does.
     """
     sized = written(measured(docs), "mix-sizes")
     pieces, sources = taken_pieces(sized, block_words)
-    starts = F.sum(F.when((F.col("piece_at") == 0) & (F.col("taken") > 0), 1).otherwise(0)).cast("long")
-    rows = pieces.groupBy("doc_id", "source", "size", "start").agg(F.coalesce(F.sum("taken"), F.lit(0)).cast("long").alias("taken"), starts.alias("starts")).drop("start")
-    zero = F.lit(0).cast("long")
-    rows = rows.unionByName(sized.where("size = 0").select("doc_id", "source", "size", zero.alias("taken"), zero.alias("starts")))
+    slots = F.array_sort(F.collect_list(F.when((F.col("piece_at") == 0) & (F.col("taken") > 0), F.col("slot"))))  # EPOCHS at most
+    first = F.min(F.when(F.col("taken") > 0, F.col("slot")))
+    rows = pieces.groupBy("doc_id", "source", "size", "start").agg(F.coalesce(F.sum("taken"), F.lit(0)).cast("long").alias("taken"), slots.alias("slots"), first.alias("first_slot")).drop("start")
+    nothing = sized.where("size = 0").select("doc_id", "source", "size", F.lit(0).cast("long").alias("taken"), F.array().cast("array<long>").alias("slots"), F.lit(None).cast("long").alias("first_slot"))
+    rows = rows.unionByName(nothing)
     of = sources.select(F.col("source").alias("_source"), "source_size", F.coalesce("target", F.lit(0.0)).alias("target"))
-    return rows.join(of, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "source", "size", "source_size", "target", "taken", "starts")
+    return rows.join(of, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "source", "size", "source_size", "target", "taken", "slots", "first_slot")
 
 
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes its start: 0 to ``EPOCHS`` times."""
-    times = mix(docs.select("doc_id", "source", "text"), block_words).groupBy("doc_id").agg(F.max("starts").alias("_starts")).where("_starts > 0")
-    times = written(times.withColumnRenamed("doc_id", "_of"), "mix-times")
-    joined = docs.join(times.hint("merge"), docs["doc_id"].eqNullSafe(times["_of"]))
-    again = "_" + "_".join(docs.columns)  # a name that documents don't have
-    return joined.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1).cast("long"), times["_starts"])).alias(again)).drop(again)
+    """The rows of ``docs``, each as often as the mix takes its start, in the order of the schedule.
+
+    So any stretch of the result, file by file, is near the target shares. Rows that share a doc_id are
+    all placed as the one of them that is taken most often.
+    """
+    most = F.max(F.struct(F.size("slots").alias("n"), F.col("slots")))["slots"]
+    places = mix(docs.select("doc_id", "source", "text"), block_words).groupBy("doc_id").agg(most.alias("_slots")).where("size(_slots) > 0")
+    places = written(places.withColumnRenamed("doc_id", "_of"), "mix-slots")
+    # documents may have columns of any name, so they go on as one
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"))
+    joined = rows.join(places.hint("merge"), rows["id"].eqNullSafe(places["_of"])).select("row", "id", F.explode("_slots").alias("slot"))
+    return joined.repartitionByRange("slot", "id").sortWithinPartitions("slot", "id").select("row.*")

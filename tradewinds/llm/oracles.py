@@ -28,7 +28,8 @@ WITH d AS (
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
-  CAST(CASE WHEN size = 0 THEN 0 ELSE (granted // source_size) * size + greatest(0, least(size, granted % source_size - start)) END AS BIGINT) AS taken
+  CAST(CASE WHEN size = 0 THEN 0 ELSE (granted // source_size) * size + greatest(0, least(size, granted % source_size - start)) END AS BIGINT) AS taken,
+  size > 0 AND (granted >= source_size OR granted % source_size > start) AS drawn
 FROM g
 """
 

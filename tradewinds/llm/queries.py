@@ -19,7 +19,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that a mix to target weights takes."""
-    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", F.col("first_slot").isNotNull().alias("drawn"))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Chat formatting with a grammar round trip.
 
 A turn is ``<|im_start|>role\\ntext<|im_end|>\\n``. The rendered conversation is parsed again by a
-deterministic parser, which splits at the marks and unescapes, and compared with the source; a turn
-that doesn't come back identical is escaped and rendered again, until the whole conversation does.
+deterministic parser, which splits at the marks and unescapes, and compared with the source; turns
+that don't come back identical are escaped and all is rendered and parsed again, until it is identical.
 Escaping puts one more backslash into each ``<`` ... ``|`` that could be taken for a mark or for an
 escaped one, and writes a line feed of a role as ``\\n``; it loses nothing, so a second round always
 agrees. The loss mask covers the texts of assistant turns, as code points of the rendered text.
@@ -12,8 +12,8 @@ at a time, so a task holds one conversation and not its partition. A digest over
 needs its turns in order in one place; no other step gathers rows.
 
 Nulls and ties: a null text or role is empty; null turns come first, ties go by role and text, and
-repeated rows are turns of their own. Rows with a null conv_id are one conversation. An empty table
-gives an empty result.
+repeated rows are turns of their own. Rows with a null conv_id are one conversation. Texts are never
+cut; a task holds one conversation's. An empty table gives an empty result. Other columns are never read.
 """
 
 from __future__ import annotations
@@ -79,14 +79,18 @@ def comes_back(role: str, text: str, rendered: str) -> bool:
 def render(turns: list[tuple[str, str]]) -> str:
     """The conversation's text; the parser gives its turns back."""
     parts = [render_turn(role, text) for role, text in turns]
-    for k, (role, text) in enumerate(turns):
-        if not comes_back(role, text, parts[k]):
-            parts[k] = render_turn(_escape_role(role), escape(text))
-    formatted = "".join(parts)
-    back = parse(formatted)
-    if back is None or [t[:2] for t in back] != turns:  # turns that agree alone also agree in a row, for each ends with its mark
-        raise ValueError("a conversation doesn't come back as it was")
-    return formatted
+    plain = list(range(len(turns)))
+    while True:
+        formatted = "".join(parts)
+        back = parse(formatted)
+        if back is not None and [t[:2] for t in back] == turns:
+            return formatted
+        odd = [k for k in plain if not comes_back(*turns[k], parts[k])]
+        if not odd:
+            raise ValueError("a conversation doesn't come back as it was")
+        for k in odd:
+            parts[k] = render_turn(_escape_role(turns[k][0]), escape(turns[k][1]))
+        plain = sorted(set(plain) - set(odd))
 
 
 def loss_spans(formatted: str) -> list[tuple[int, int]]:

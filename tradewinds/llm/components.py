@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewinds.llm._shared import written
+from tradewinds.llm._shared import delete, tables, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -34,10 +34,12 @@ def components(edges: DataFrame, files: int | None = None) -> DataFrame:
     Each round is written as ``files`` files.
     """
     state = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star", files)
-    mark = None
+    own, mark = tables()[-1:], None
     while True:
         now = tuple(state.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == mark or not now[0]:
             return state.select(F.col("u").alias("node"), F.col("v").alias("component"))
         mark = now
         state = written(_small_star(_large_star(state)), "star", files)
+        delete(edges.sparkSession, own)  # the round before
+        own = tables()[-1:]

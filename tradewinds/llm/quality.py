@@ -2,8 +2,8 @@
 
 Each text is described by ``len(NAMES)`` statistics of its bytes, words and lines. Standardised,
 they pass through ``WIDTH`` random cosine features, whose inner products approximate a Gaussian
-kernel. Tasks add up their rows' share of the normal equations and a second round adds up the
-tasks', so the driver gets ``SUM_PARTS`` matrices whatever the input, and solves the ridge system.
+kernel. Tasks add up their rows' share of the normal equations and two more rounds add up the
+tasks', so the driver gets a few matrices whatever the input, and solves the ridge system.
 Isotonic regression over ``BINS`` bins of the ridge score, from labelled rows that the fit left
 out, turns it into a probability.
 
@@ -12,8 +12,8 @@ fits. Labels, language, source and id are never inputs.
 
 Nulls and ties: a null text is empty; an empty text has a score as any other. Rows with a null
 doc_id are scored but have no label. Several labels of a document count as their mean. Repeated
-rows get equal scores. Without labels of both classes every score is the share of label 1, or 0.5.
-An empty table gives an empty result.
+rows get equal scores. Texts are read whole, one at a time, whatever their length. Without labels of both classes every score is the share of label 1, or 0.5.
+An empty table gives an empty result. Other columns of the documents are never read.
 """
 
 from __future__ import annotations
@@ -35,7 +35,8 @@ WIDTH = 256
 SCALE = 1.0
 RIDGE = 1e-3
 BINS = 400
-SUM_PARTS = 8
+#: Tasks of each round of a sum: none adds up what all tasks of a large table have.
+SUM_PARTS = (64, 8)
 
 NAMES = (
     "log_bytes", "log_words", "word_bytes", "space", "upper", "digit", "dot", "comma", "pipe", "symbol", "other_punct", "wide",
@@ -133,20 +134,21 @@ def _summed(rows: DataFrame, n: int, share) -> np.ndarray:
     """The sum over all rows of a vector of ``n`` numbers that ``share`` makes of a batch."""
 
     def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n)
-        for b in batches:
-            if b.num_rows:
-                total += share(b)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
+        return total(share(b) for b in batches if b.num_rows)
 
-    def second(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n)
-        for b in batches:
-            for s in b.column(0).to_pylist():
-                total += np.frombuffer(s)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
+    def again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return total(np.frombuffer(s) for b in batches for s in b.column(0).to_pylist())
+
+    def total(shares: Iterable[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        out = None
+        for s in shares:
+            out = s.copy() if out is None else np.add(out, s, out=out)
+        if out is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["s"])
 
-    parts = rows.mapInArrow(first, "s binary").repartition(SUM_PARTS).mapInArrow(second, "s binary")
+    parts = rows.mapInArrow(first, "s binary")
+    for n_parts in SUM_PARTS:
+        parts = parts.repartition(n_parts).mapInArrow(again, "s binary")
     return sum((np.frombuffer(r["s"]) for r in parts.collect()), np.zeros(n))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewinds.deploy import ship
 from tradewinds.llm import bpe, exact_dedup, jaccard_join, mixing, quality
-from tradewinds.llm._shared import written
+from tradewinds.llm._shared import delete, tables, written
 from tradewinds.llm.queries import RANKS
 
 #: The fit of the first stage and the shuffle of the fourth aren't SQL; the stages are tested by brute force.
@@ -35,7 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document as often as the mix of sources takes it, in the order of the mix."""
     return mixing.mixed_documents(docs)
 
 
@@ -49,8 +49,9 @@ STAGES = [("quality classifier", accept), ("exact dedup", drop_copies), ("n-gram
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The result of the last stage over ``documents``; what a stage has written but its result goes with it."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), set(tables())
     for k, (_, stage) in enumerate(STAGES):
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{k}")
+        delete(spark, [t for t in tables()[:-1] if t not in before])
     return docs

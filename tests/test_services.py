@@ -118,6 +118,17 @@ def test_control(tmp_path):
         control.read_json("x.csv")
 
 
+def test_json_in_any_store(spark, tmp_path):
+    store = control.Store(spark, f"file://{tmp_path}/deep")
+    assert store.load("a.json", {}) == {}
+    for n in (1, 2):
+        store.save("x/a.json", {"n": n, "when": datetime(2024, 1, 1, tzinfo=UTC), "é": "ü"})
+        assert store.load("x/a.json") == {"n": n, "when": "2024-01-01T00:00:00+00:00", "é": "ü"}
+    assert not list(tmp_path.rglob("*.part"))
+    with pytest.raises(ValueError):
+        store.load("a.csv")
+
+
 def test_responses(spark, tmp_path):
     fake = {"transport": "tests.fake_service:get", "lanes": 2}
     some = rq.estat_data(S, {"geo": ["FR", "DE"]}, split_by=["geo"])

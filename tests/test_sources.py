@@ -24,10 +24,11 @@ def test_planning():
     assert planning.by_priority(["a", "b", "c"], {"a": 5, "c": 2}) == ["b", "c", "a"]
 
 
-def test_bisection_gets_all_rows():
-    fetch = lambda s: [(f, p) for f in s["flow"] for p in s["product"]][:6]
-    rows = planning.bisect({"flow": ["M", "X"], "product": list("abcdefgh")}, ["flow", "product"], fetch, 6)
-    assert sorted(rows) == sorted((f, p) for f in "MX" for p in "abcdefgh")
+def test_halves_keep_all_values():
+    order = ["flow", "product"]
+    assert planning.halved({"flow": ["M"], "product": list("abc")}, order) == [{"flow": ["M"], "product": ["a"]}, {"flow": ["M"], "product": ["b", "c"]}]
+    assert planning.halved({"flow": ["M", "X"], "product": list("abc")}, order)[1] == {"flow": ["X"], "product": list("abc")}
+    assert planning.halved({"flow": ["M"], "product": []}, order) == []
 
 
 def test_parsers(spark):
@@ -35,8 +36,11 @@ def test_parsers(spark):
     assert [tuple(r) for r in parsers.tsv_to_rows(wide).orderBy("TIME_PERIOD").collect()] == [("A", "FR", "2020", 1.5), ("A", "FR", "2021", None), ("A", "FR", "2022", None)]
     shape = {"id": ["geo", "time"], "size": [2, 3], "dimension": {"geo": {"category": {"index": ["FR", "DE"]}}, "time": {"category": {"index": {"2020": 0, "2021": 1, "2022": 2}}}}}
     dense, sparse = json.dumps({**shape, "value": [1, None, 3, 4, 5, 6]}), json.dumps({**shape, "value": {"0": 1, "4": 5}})
-    rows = {tuple(r) for r in parsers.jsonstat_to_rows(spark.createDataFrame([(dense,), (sparse,)], "p string"), "p", dense).collect()}
+    rows = {tuple(r) for r in parsers.jsonstat_to_rows(spark.createDataFrame([(dense,), (sparse,)], "p string"), "p", ["geo", "time"]).collect()}
     assert ("DE", "2021", 5.0) in rows and ("FR", "2021", None) not in rows and len(rows) == 5
+    turned = json.dumps({"id": ["time", "geo"], "size": [1, 2], "dimension": {"geo": {"category": {"index": {"IT": 1, "FR": 0}}}, "time": {"category": {"index": ["1999"]}}}, "value": [7, 8]})
+    odd = spark.createDataFrame([(turned,), ("no json",), ("{}",), (None,)], "p string")
+    assert {tuple(r) for r in parsers.jsonstat_to_rows(odd, "p", ["geo", "time"]).collect()} == {("FR", "1999", 7.0), ("IT", "1999", 8.0)}
     text = json.dumps({"dataSets": [{"observations": {"0:1": [2.5, 0], "1:0": [7]}}]})
     got = parsers.sdmxjson_to_rows(spark.createDataFrame([(text,)], "p string"), "p", [("geo", ["FR", "DE"]), ("t", ["2020", "2021"])]).collect()
     assert {tuple(r) for r in got} == {("FR", "2021", 2.5), ("DE", "2020", 7.0)}

@@ -446,8 +446,9 @@ def jsonstat_decode(spark, sf):
     """A payload for each nation, with cells numbered over nations and years, to rows."""
     header = json.dumps({"id": ["geo", "time"], "size": [25, len(_YEARS)], "dimension": {"geo": {"category": {"index": [f"N{k}" for k in range(25)]}}, "time": {"category": {"index": {y: k for k, y in enumerate(_YEARS)}}}}})
     cell = F.struct((F.col("nk") * len(_YEARS) + F.col("y") - int(_YEARS[0])).cast("string"), F.col("n").cast("double"))
-    payloads = _totals(spark, sf).groupBy("nk").agg(F.map_from_entries(F.collect_list(cell)).alias("value")).select(F.to_json(F.struct("value")).alias("payload"))
-    return parsers.jsonstat_to_rows(payloads, "payload", header)
+    payloads = _totals(spark, sf).groupBy("nk").agg(F.to_json(F.map_from_entries(F.collect_list(cell))).alias("value"))
+    payloads = payloads.select(F.concat(F.lit(header[:-1] + ', "value": '), "value", F.lit("}")).alias("payload"))
+    return parsers.jsonstat_to_rows(payloads, "payload", ["geo", "time"])
 
 
 @query("sdmxjson_decode", f"WITH {_TOTALS} SELECT 'N' || nk AS geo, CAST(y AS VARCHAR) AS time, v AS \"value\" FROM totals")

@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+import uuid
 from collections.abc import Mapping
 from datetime import UTC, datetime
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+
 
 def read_json(path: str | Path, default=None):
     """The content of a ``.json`` file; ``default``, if given, where there is none."""
@@ -85,3 +88,37 @@ class Instants:
     def mark(self, keys: str | list[str], when: datetime) -> None:
         self.held |= dict.fromkeys([keys] if isinstance(keys, str) else keys, when)
         write_json(self.path, self.held)
+
+
+class Store:
+    """JSON files in any folder that the session's Hadoop can reach, as ``s3a://bucket/folder``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._jvm, self.root = spark._jvm, root.rstrip("/")
+        self._fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
+    def load(self, name: str, default=None):
+        """The content of a ``.json`` file; ``default``, if given, where there is none."""
+        if Path(name).suffix != ".json":
+            raise ValueError(f"{name} isn't a .json file")
+        if default is not None and not self._fs.exists(self._path(name)):
+            return default
+        stream = self._fs.open(self._path(name))
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def save(self, name: str, content) -> None:
+        """Writes a whole file or none: a new file beside it takes its place."""
+        part, final = self._path(f"{name}.{uuid.uuid4().hex}.part"), self._path(name)
+        stream = self._fs.create(part, True)
+        stream.write(bytearray(json.dumps(content, ensure_ascii=False, indent=1, default=_plain).encode()))
+        stream.close()
+        if self._fs.exists(final):
+            self._fs.delete(final, False)
+        if not self._fs.rename(part, final):
+            raise OSError(f"{name} can't be written")

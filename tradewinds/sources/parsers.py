@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewinds.functions.exprs import number
@@ -23,27 +22,31 @@ def tsv_to_rows(wide: DataFrame, dimensions: Sequence[str] | None = None) -> Dat
     return rows.select(*names, "cell.TIME_PERIOD", number(F.col("cell.raw")).alias("value"))
 
 
-def jsonstat_to_rows(payloads: DataFrame, column: str, header: str) -> DataFrame:
-    """JSON-stat payloads of one structure: a column for each dimension and the value; nulls are skipped.
+def jsonstat_to_rows(payloads: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
+    """JSON-stat payloads, each by its own header: a column for each named dimension and the value; nulls are skipped.
 
-    ``header`` is a payload that gives the structure. Cells are numbered row by row over the sizes;
-    the values are a list or a map of those that there are.
+    Cells are numbered row by row over the sizes, in the payload's order of dimensions; the values are a list or
+    a map of those that there are, and so are the codes of a dimension. Text that isn't of this form has no rows.
     """
-    doc = json.loads(header)
-    names, sizes = doc["id"], doc["size"]
-    dense = F.from_json(F.get_json_object(column, "$.value"), "array<double>")
-    sparse = F.from_json(F.get_json_object(column, "$.value"), "map<string,double>")
-    listed = F.get_json_object(column, "$.value").startswith("[")
+    part = lambda path: F.get_json_object(column, path)
+    listed = part("$.value").startswith("[")
+    dense, sparse = F.from_json(part("$.value"), "array<double>"), F.from_json(part("$.value"), "map<string,double>")
     as_cells = F.when(listed, F.transform(dense, lambda v, i: F.struct(i.cast("long").alias("at"), v.alias("value")))).otherwise(F.transform(F.map_entries(sparse), lambda e: F.struct(e["key"].cast("long").alias("at"), e["value"].alias("value"))))
-    rows = payloads.select(F.explode(as_cells).alias("cell")).where("cell.value IS NOT NULL")
-    out, after = [], 1
-    for name, size in list(zip(names, sizes, strict=True))[::-1]:
-        index = doc["dimension"][name]["category"]["index"]
-        codes = index if isinstance(index, list) else sorted(index, key=index.get)
-        place = F.floor(F.col("cell.at") / after) % size
-        out.append(F.get(F.array(*map(F.lit, codes)), place.cast("int")).alias(name))
-        after *= size
-    return rows.select(*out[::-1], F.col("cell.value").alias("value"))
+
+    def codes(name: str) -> Column:
+        held = part(f"$.dimension['{name}'].category.index")
+        by_place = F.array_sort(F.transform(F.map_entries(F.from_json(held, "map<string,int>")), lambda e: F.struct(e["value"].alias("at"), e["key"].alias("code"))))
+        return F.when(held.startswith("["), F.from_json(held, "array<string>")).otherwise(F.transform(by_place, lambda x: x["code"]))
+
+    headers = [F.from_json(part("$.id"), "array<string>").alias("ids"), F.from_json(part("$.size"), "array<long>").alias("sizes")]
+    rows = payloads.select(*headers, *(codes(n).alias(f"codes{k}") for k, n in enumerate(names)), F.explode(as_cells).alias("cell")).where("cell.value IS NOT NULL AND size(ids) = size(sizes)")
+    out = []
+    for k, name in enumerate(names):
+        nth = F.array_position("ids", F.lit(name)).cast("int")
+        after = F.aggregate(F.slice("sizes", nth + 1, F.size("sizes")), F.lit(1).cast("long"), lambda a, x: a * x)
+        place = F.floor(F.col("cell.at") / after) % F.get("sizes", nth - 1)
+        out.append(F.get(F.col(f"codes{k}"), place.cast("int")).alias(name))
+    return rows.select(*out, F.col("cell.value").alias("value"))
 
 
 def sdmxjson_to_rows(payloads: DataFrame, column: str, dimensions: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 
 #: How a key is written: between dimensions, between values, and for any value.
@@ -65,17 +65,13 @@ def batches(codes: Sequence[str], size: int) -> list[list[str]]:
     return [list(codes[k : k + size]) for k in range(0, len(codes), size)]
 
 
-def bisect(selection: Mapping[str, Sequence], order: Sequence[str], fetch: Callable[[dict], list], limit: int) -> list:
-    """Rows of a request that a source cuts off at ``limit``: halved along the first dimension that can be."""
-    rows = fetch(dict(selection))
-    if len(rows) < limit:
-        return rows
+def halved(selection: Mapping[str, Sequence], order: Sequence[str]) -> list[dict[str, Sequence]]:
+    """A selection as two, cut along the first dimension of ``order`` that has several values; none if there is none."""
     name = next((n for n in order if len(selection.get(n) or ()) > 1), None)
     if name is None:
-        return rows
-    values = list(selection[name])
-    half = len(values) // 2
-    return [row for part in (values[:half], values[half:]) for row in bisect({**selection, name: part}, order, fetch, limit)]
+        return []
+    half = len(selection[name]) // 2
+    return [{**selection, name: part} for part in (selection[name][:half], selection[name][half:])]
 
 
 def schema_name(dataflow: str) -> str:

@@ -43,15 +43,12 @@ def _texts(request: dict, get, quota: Quota | None) -> Iterator[tuple[str, str]]
             body = get(url, request["headers"], request["timeout"])
         except NoRecords:
             return
-        name = next((n for n in request["halve"] if len(selection[n]) > 1), None)
         if request["limit"] and len(json.loads(body).get("data") or ()) >= request["limit"]:
-            if name is None:
-                logging.getLogger(__name__).warning("%s has as many rows as a response can, and can't be halved", url)
-            else:
-                half = len(selection[name]) // 2
-                for part in (selection[name][:half], selection[name][half:]):
-                    yield from ask({**selection, name: part})
+            if parts := planning.halved(selection, request["halve"]):
+                for part in parts:
+                    yield from ask(part)
                 return
+            logging.getLogger(__name__).warning("%s has as many rows as a response can, and can't be halved", url)
         yield url, body
 
     yield from ask(wanted)

@@ -496,7 +496,7 @@ def test_jaccard_join(docs, rows, nothing, n, num, den):
     assert jaccard_join.jaccard_join(nothing, n, num, den).count() == 0
 
 
-def _collide():
+def _collide() -> tuple[str, str]:
     """Two words of a Thue-Morse sequence and its complement: equal under any odd base modulo 2**64."""
     bits = [bin(k).count("1") % 2 for k in range(2048)]
     return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
@@ -521,6 +521,24 @@ def test_words_over_slices(monkeypatch):
     assert [w for words in jaccard_join.word_lists(raw) for w in words] == whole == raw.lower().split()
 
 
+def test_word_hashes_tell_words_apart(monkeypatch):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("aAbé\x00"), rng.choice([1, 2, 8, 15, 16, 17, 33, 300])))
+    gap = lambda: "".join(rng.choice(list(" \t\n\x0b\f\r"), rng.integers(1, 4)))
+    texts = ["", " ", *("".join(x for _ in range(rng.integers(1, 30)) for x in (word(), gap())) for _ in range(80)), *("".join(_collide()) for _ in range(2)), _collide()[0]]
+    texts = [t.encode() for t in texts] + [b" " + texts[5].encode().upper() + b"\x0c\n"]
+    for size in (1 << 20, 60):  # together, and cut into slices
+        monkeypatch.setattr(jaccard_join, "SLICE_BYTES", size)
+        words, hashes, digests = {}, {}, {}
+        for raw, (own, digest) in zip(texts, jaccard_join.described(texts), strict=True):
+            said = raw.lower().split()
+            assert len(said) == len(own)
+            for w, h in zip(said, own.tolist(), strict=True):
+                assert words.setdefault(w, h) == h and hashes.setdefault(h, w) == w
+            assert digests.setdefault(tuple(said), digest) == digest
+        assert len(set(digests.values())) == len(digests)
+
+
 def test_jaccard_join_settles_chains(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK_IDS", 7)  # clusters of several blocks
     base = [f"w{k}" for k in range(60)]

@@ -1,7 +1,7 @@
 """Exact n-gram Jaccard join by universe partition and pigeonhole.
 
-A document's set is its distinct word n-grams. Candidates are found by 64-bit hashes of them, made of
-cryptographic hashes of the words; links are decided by the words themselves. Two sets of sizes
+A document's set is its distinct word n-grams. Candidates are found by 64-bit hashes of
+them; links are decided by the words themselves. Two sets of sizes
 ``l`` and ``s`` with similarity ``num/den`` differ in at most ``(den - num)(l + s) / (den + num)``
 elements. Sizes fall into bands; each band has its own *space* for the pairs whose larger set lies
 in it, and a set joins its band's space and those above that a partner can lie in.
@@ -50,35 +50,90 @@ BAND = 1.5
 STAR = 400
 #: Documents and n-grams of a block that is counted at once, and columns of a product.
 BLOCK_IDS, BLOCK_ITEMS, COLUMNS = 1024, 1_500_000, 2048
-#: Words of more bytes are hashed each time that they occur; hashes that a task keeps.
-LONG_WORD, KNOWN_WORDS = 64, 500_000
+#: Words of more bytes are hashed one at a time.
+LONG_WORD = 256
 #: Text that is hashed or compared at a time, and text to a bucket.
 SLICE_BYTES, BUCKET_BYTES = 1 << 20, 6_000_000
 
 
 _BREAK = re.compile(rb"[ \t-\r]")
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LOWER = np.where(np.isin(np.arange(256), np.arange(65, 91)), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
+#: What is left of 16 bytes, as two numbers, of a word that has so many.
+_LEFT = np.tril(np.full((17, 16), 255, np.uint8), -1).view("<u8").astype(U)
 
 
-def word_lists(raw: bytes) -> Iterator[list[bytes]]:
-    """The lower-cased words of a text, slice by slice; no word is cut."""
+def slices(raw: bytes) -> Iterator[bytes]:
+    """A text in pieces of about ``SLICE_BYTES``; no word is cut."""
     at = 0
     while at < len(raw):
         found = _BREAK.search(raw, at + SLICE_BYTES) if at + SLICE_BYTES < len(raw) else None
         end = found.start() if found else len(raw)
-        yield raw[at:end].lower().split()  # of bytes: ASCII letters and ASCII white space only
+        yield raw[at:end]
         at = end
 
 
-class _Hashes(dict):
-    """Cryptographic 64-bit hashes of words; those of short words are kept, ``KNOWN_WORDS`` at most."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(word) <= LONG_WORD:
-            if len(self) >= KNOWN_WORDS:
-                self.clear()
-            self[word] = value
-        return value
+def word_lists(raw: bytes) -> Iterator[list[bytes]]:
+    """The lower-cased words of a text, slice by slice."""
+    for piece in slices(raw):
+        yield piece.lower().split()  # of bytes: ASCII letters and ASCII white space only
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of some bytes that end with white space, and where each begins; the words, lower-cased
+    and with one space after each, as bytes; and how many of these there are up to each place."""
+    space, low = _SPACE[data], _LOWER[data]
+    edge = np.diff(space, prepend=True)
+    turns = np.flatnonzero(edge)
+    starts, length = turns[::2], turns[1::2] - turns[::2]
+    blocks = np.lib.stride_tricks.sliding_window_view(np.r_[low, np.zeros(16, np.uint8)], 16)
+    h = length.astype(U) * U(0xD6E8FEB86659FD93)
+    for k in range(0, LONG_WORD, 16):
+        some = np.flatnonzero(length > k)
+        if not len(some):
+            break
+        two = np.ascontiguousarray(blocks[starts[some] + k]).view("<u8") & _LEFT[np.minimum(length[some] - k, 16)]
+        h[some] = mix(mix(h[some] + two[:, 0]) * U(BASE) + two[:, 1])
+    for i in np.flatnonzero(length > LONG_WORD).tolist():
+        word = low[starts[i] : starts[i] + length[i]]
+        h[i] = int.from_bytes(hashlib.blake2b(np.ascontiguousarray(word), digest_size=8).digest(), "little")
+    kept = ~space
+    kept[1:] |= kept[:-1].copy() & space[1:]
+    return h, starts, np.where(space, np.uint8(32), low)[kept], np.cumsum(kept)
+
+
+def described(texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, bytes]]:
+    """For each text the hashes of its words, and a digest of the words; short texts are read together."""
+    held: list[bytes] = []
+    size = 0
+
+    def flush() -> Iterator[tuple[np.ndarray, bytes]]:
+        hashes, starts, said, place = word_hashes(np.frombuffer(b"\n".join([*held, b""]), np.uint8))
+        ends = np.cumsum([len(b) + 1 for b in held])
+        marks = [0, *place[ends - 1].tolist()]
+        for k, own in enumerate(np.split(hashes, np.searchsorted(starts, ends[:-1]))):
+            yield own, hashlib.blake2b(said[marks[k] : marks[k + 1]], digest_size=32).digest()
+        held.clear()
+
+    for raw in texts:
+        if len(raw) > SLICE_BYTES:
+            if held:
+                yield from flush()
+                size = 0
+            digest, parts = hashlib.blake2b(digest_size=32), [np.zeros(0, U)]
+            for piece in slices(raw):
+                hashes, _, said, _ = word_hashes(np.frombuffer(piece + b"\n", np.uint8))
+                digest.update(said)
+                parts.append(hashes)
+            yield np.concatenate(parts), digest.digest()
+            continue
+        held.append(raw)
+        size += len(raw)
+        if size >= SLICE_BYTES:
+            yield from flush()
+            size = 0
+    if held:
+        yield from flush()
 
 
 class _Numbers(dict):
@@ -89,8 +144,8 @@ class _Numbers(dict):
         return k
 
 
-def _numbered(raw: bytes, known: dict, kind: type) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *(np.fromiter(map(known.__getitem__, w), kind, len(w)) for w in word_lists(raw))])
+def _numbered(raw: bytes, known: dict) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(np.fromiter(map(known.__getitem__, w), np.int64, len(w)) for w in word_lists(raw))])
 
 
 @cache
@@ -116,7 +171,7 @@ def exact_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     Words are numbered by their bytes and n-grams by the numbers of their words, so no hash is trusted.
     """
     known = _Numbers()
-    words = [_numbered(raw, known, np.int64) for raw in texts]
+    words = [_numbered(raw, known) for raw in texts]
     words = [np.pad(w, (0, n - len(w))) if 0 < len(w) < n else w for w in words]  # a short text is one n-gram, which no other text has
     counts = np.array([max(0, len(w) - n + 1) for w in words], np.int64)
     flat = np.concatenate([np.zeros(0, np.int64), *words])
@@ -274,20 +329,13 @@ def _stars(s: np.ndarray, i: np.ndarray, z: np.ndarray, starts: np.ndarray, buck
 def _signed(plan: Plan, n: int, buckets: int):
     """Batches of ``doc_id, text`` to rows of all kinds."""
 
-    known = _Hashes()
-
     def one(ids: list, texts: list) -> Iterator[pa.RecordBatch]:
         first: dict[bytes, int] = {}
         keys, sizes, kept = [], [], {}
-        for doc_id, text in zip(ids, texts, strict=True):
-            said = hashlib.blake2b(digest_size=32)
-            parts = [np.zeros(0, U)]
-            for words in word_lists((text or "").encode()):
-                said.update(b" ".join([*words, b""]))
-                parts.append(np.fromiter(map(known.__getitem__, words), U, len(words)))
-            items = set_of(np.concatenate(parts), n)
+        for doc_id, (words, said) in zip(ids, described((t or "").encode() for t in texts), strict=True):
+            items = set_of(words, n)
             sizes.append(len(items))
-            key = said.digest() if len(items) and doc_id is not None else b""
+            key = said if len(items) and doc_id is not None else b""
             keys.append(key)
             if key and (key not in first or doc_id < first[key]):
                 first[key] = doc_id

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tradewinds.llm._shared import by_key, parts_for, text_bytes, written
 
 #: Text of a block, text to a bucket, and pieces that merges are replayed on at once.
-BLOCK_BYTES, BUCKET_BYTES, FLUSH_BYTES = 4_000_000, 8_000_000, 24_000_000
+BLOCK_BYTES, BUCKET_BYTES, FLUSH_BYTES = 32_000_000, 8_000_000, 24_000_000
 #: Texts of more characters are cut lazily.
 LAZY_CHARS = 4_000_000
 NONE = np.iinfo(np.int32).max
@@ -253,7 +253,7 @@ def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays of numbers, each byte by byte, compressed."""
     head = np.array([len(arrays), *(x for a in arrays for x in (len(a), a.itemsize))], np.int64)
     planes = [np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).tobytes() for a in arrays]
-    return zstandard.compress(b"".join([head.tobytes(), *planes]), 3)
+    return zstandard.compress(b"".join([head.tobytes(), *planes]), 9)
 
 
 def _unpack(payload: bytes, *kinds: type) -> list[np.ndarray]:
@@ -286,14 +286,14 @@ def _cut(name: str, buckets: int):
         def flush() -> Iterator[pa.RecordBatch]:
             raw = [p.encode() for p in numbers]
             code = np.array([bpe.ranks.get(p, -1) for p in raw], np.int32)
-            rest = np.flatnonzero(code < 0)
-            to = np.array([zlib.crc32(raw[k]) % buckets for k in rest.tolist()], np.int64)
-            rest, to = rest[np.argsort(to, kind="stable")], np.sort(to)
-            code[rest] = -1 - np.arange(len(rest))  # the pieces that are asked for, in the order of buckets
             flat = np.concatenate([np.zeros(0, np.int32), *(at for _, at in held)])
             often = np.argsort(-np.bincount(flat, minlength=len(code)), kind="stable")  # small numbers for frequent pieces
             place = np.empty(len(code), np.int32)
             place[often] = np.arange(len(code))
+            rest = often[code[often] < 0]
+            to = np.array([zlib.crc32(raw[k]) % buckets for k in rest.tolist()], np.int64)
+            code[rest] = -1 - to  # a piece is asked for in its bucket, there in the order of these numbers
+            rest, to = rest[np.argsort(to, kind="stable")], np.sort(to)
             real = np.array([i is not None for i, _ in held], np.uint8)
             ids = np.array([i or 0 for i, _ in held], np.int64)
             yield _batch([block], 0, [-1], [_pack(ids, real, np.array([len(at) for _, at in held], np.int64), code[often], place[flat])])
@@ -372,8 +372,9 @@ def _joined(name: str, build):
         pool = np.concatenate([np.zeros(0, np.int32), *(g[1] for g in got), code[code >= 0]])
         whole = code >= 0
         n, start = np.ones(len(code), np.int64), np.empty(len(code), np.int64)
-        n[~whole] = counts[-1 - code[~whole]]
-        start[~whole] = (np.cumsum(counts) - counts)[-1 - code[~whole]]
+        asked = np.flatnonzero(~whole)
+        asked = asked[np.argsort(-1 - code[asked], kind="stable")]
+        n[asked], start[asked] = counts, np.cumsum(counts) - counts
         start[whole] = counts.sum() + np.arange(whole.sum())
         rows, low = [], 0
         for doc_id, is_real, size in zip(doc_ids.tolist(), real.tolist(), sizes.tolist(), strict=True):

@@ -370,6 +370,12 @@ def test_bpe_equals_tiktoken(docs, rows, nothing, spark, monkeypatch):
     assert bpe.encode_digests(nothing, name).count() == 0
 
 
+def test_packed_numbers_come_back():
+    x = np.array([0, 1, 254, 255, 256, 511, 70_000, 16_000_000, 3], np.int32)
+    assert bpe._plain(*bpe._escaped(x)).tolist() == x.tolist()
+    assert [a.tolist() for a in bpe._unpack(bpe._pack(x, x[:0], x.astype(np.uint8)), np.int32, np.int32, np.uint8)] == [x.tolist(), [], x.astype(np.uint8).tolist()]
+
+
 def test_bpe_mends_pieces_whose_order_differs():
     ranks = {bytes([b]): b for b in range(256)} | {b"bc": 300, b"abc": 400, b"ab": 299, b"aba": 298, b"abab": 297}
     own = bpe.Bpe(ranks, r".+")

@@ -266,6 +266,18 @@ def _unpack(payload: bytes, *kinds: type) -> list[np.ndarray]:
     return out
 
 
+def _escaped(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of which most are small: a byte for each, and the rest of those from 255 on."""
+    rest = x[x >= 255] - 255
+    return np.minimum(x, 255).astype(np.uint8), (rest & 255).astype(np.uint8), (rest >> 8).astype(np.uint16)
+
+
+def _plain(first: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    out = first.astype(np.int32)
+    out[first == 255] += low.astype(np.int32) + (high.astype(np.int32) << 8)
+    return out
+
+
 def numbered(text: str, numbers: dict[str, int], pattern, lazy: int) -> np.ndarray:
     """The numbers of a text's pieces, in order."""
     if len(text) <= lazy:
@@ -296,7 +308,7 @@ def _cut(name: str, buckets: int):
             rest, to = rest[np.argsort(to, kind="stable")], np.sort(to)
             real = np.array([i is not None for i, _ in held], np.uint8)
             ids = np.array([i or 0 for i, _ in held], np.int64)
-            yield _batch([block], 0, [-1], [_pack(ids, real, np.array([len(at) for _, at in held], np.int64), code[often], place[flat])])
+            yield _batch([block], 0, [-1], [_pack(ids, real, np.array([len(at) for _, at in held], np.int64), code[often], *_escaped(place[flat]))])
             cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]).tolist() if len(to) else []
             asked = [[raw[k] for k in rest[x:y].tolist()] for x, y in zip(cuts, [*cuts[1:], len(to)], strict=False)]
             if asked:
@@ -366,7 +378,8 @@ def _joined(name: str, build):
                 payload = said
             else:
                 answers[bucket] = said
-        doc_ids, real, sizes, code, flat = _unpack(payload, np.int64, np.uint8, np.int64, np.int32, np.int32)
+        doc_ids, real, sizes, code, *said = _unpack(payload, np.int64, np.uint8, np.int64, np.int32, np.uint8, np.uint8, np.uint16)
+        flat = _plain(*said)
         got = [_unpack(answers[k], np.int32, np.int32) for k in sorted(answers)]
         counts = np.concatenate([np.zeros(0, np.int64), *(g[0] for g in got)])
         pool = np.concatenate([np.zeros(0, np.int32), *(g[1] for g in got), code[code >= 0]])

@@ -23,7 +23,8 @@ lost, and no group is expanded into rows of pairs.
 
 Nulls and ties: a null or blank text has an empty set and no link; its component is itself. Rows
 with a null doc_id take no part in links and have a null component. Rows that repeat a doc_id are
-one node. An empty table gives an empty result.
+one node. Texts are read whole, in slices that cut no word, and of any length; those that are compared are
+in one task's memory as numbers of words. An empty table gives an empty result. Other columns are never read.
 """
 
 from __future__ import annotations

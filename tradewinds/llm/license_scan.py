@@ -13,7 +13,8 @@ The templates are a fixed list, so their words and frequencies are a table of fi
 are spread by document and block; no step gathers the rows of a template or of a word.
 
 Nulls and ties: a null text is empty: no words, no labels, score 0. Rows with equal doc_id are told
-apart by their text; repeated rows get equal results. An empty table gives an empty result.
+apart by their text; repeated rows get equal results. Texts are split whole, whatever their length. An empty
+table gives an empty result. Other columns are never read.
 """
 
 from __future__ import annotations

@@ -5,6 +5,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tradewinds.operators import estimation, indicators, reconcile, relational
 from tradewinds.plans import catalog, runs
@@ -54,6 +55,8 @@ def test_hhi_of_known_shares(spark):
     assert len(out) == 1 and out[0]["HHI"] == pytest.approx(0.52) and out[0]["CDI2"] is None
     with pytest.raises(ValueError, match="OBS_VALUE"):
         indicators.indicators(data.drop("OBS_VALUE"))
+    own = indicators.indicators(data, ["HHI", "total"], more={"total": F.col("_total")}).first()
+    assert own["total"] == 100.0 and own["HHI"] == pytest.approx(0.52)
     with pytest.raises(ValueError, match="unknown indicators"):
         indicators.indicators(data, ["nope"])
 
@@ -191,10 +194,38 @@ def test_filters_warn_of_what_is_absent(spark):
         assert relational.post_filter(codes, {"nope": ["1"], "c": ["27"]}).count() == 1
 
 
-def test_full_reconciliation_has_unique_keys_and_bounded_values(spark):
-    out = catalog.QUERIES["baci_full"](spark, SF).toPandas()
-    assert len(out) and not out.duplicated(["exporter", "importer", "product", "year"]).any()
-    assert (out.reconciled_value >= 0).all()
+def test_full_reconciliation_equals_plain_steps(spark):
+    declared = cw.declarations(cw.flows(spark, SF))
+    out, fob = runs.reconciliation(declared, cw.countries(spark, SF), *cw.gravity_inputs(spark, SF), cw.CONFIG)
+    f, got = fob.toPandas(), out.toPandas()
+    assert not got.duplicated(list(reconcile.KEYS)).any()
+    model = estimation.fit_freight(reconcile.freight_sample(fob))
+    d = f.ln_d - model.centre
+    x = np.column_stack([np.ones(len(f)), d, d**2, *(f[c] for c in estimation.REGRESSORS[2:]), *((f.year == y).astype(float) for y in model.years[1:])])
+    assert np.allclose(f.tau, np.expm1(x @ model.beta), equal_nan=True)
+    cif = np.where(f.importer.isin(cw.CONFIG.non_cif) | f.tau.isna(), f.v_m, f.v_m / (1 + f.tau))
+    plain = ~f.importer.isin(cw.CONFIG.fas)
+    assert np.allclose(f.v_m_fob[plain], np.maximum(cif, 0)[plain], equal_nan=True)
+
+    spread = lambda s: np.exp(s * s) * (np.exp(s * s) - 1)
+    for target, a, b in (("value", "v_x", "v_m_fob"), ("quantity", "q_x_t", "q_m_t")):
+        sigma = estimation.fit_quality(reconcile.reporting_distance(fob, target)).set_index("country")
+        i, j = (spread(f[end].map(sigma[c]).fillna(sigma[c].median()).to_numpy(float)) for end, c in (("exporter", "sigma_export"), ("importer", "sigma_import")))
+        w = np.divide(j, i + j, out=np.full(len(f), 0.5), where=i + j > 0)
+        f[f"want_{target}"] = np.where((f[a] > 0) & (f[b] > 0), w * f[a] + (1 - w) * f[b], np.where(f[a] > 0, f[a], np.where(f[b] > 0, f[b], np.nan)))
+    nes = reconcile.nes_declarations(declared, cw.CONFIG).toPandas().groupby(list(reconcile.GROUP)).value.sum()
+    f["addition"], moved = 0.0, 0
+    for key, g in f[(f.v_x > 0) & (f.v_m_fob > 0)].groupby(list(reconcile.GROUP)):
+        given = min(nes.get(key, 0.0), max(g.v_m_fob.sum() - g.v_x.sum(), 0.0))
+        missing = np.maximum(g.v_m_fob - g.v_x, 0)
+        if given > 0 and missing.sum() > 0:
+            more = given * missing / missing.sum()
+            if round(np.abs(np.log(g.v_m_fob / (g.v_x + more))).sum(), 12) < round(np.abs(np.log(g.v_m_fob / g.v_x)).sum(), 12):
+                f.loc[g.index, "addition"], moved = more, moved + 1
+    f["want_value"] += f.addition
+    both = got.merge(f[f.want_value.notna()], on=list(reconcile.KEYS), how="outer", indicator=True)
+    assert moved and (both._merge == "both").all()
+    assert np.allclose(both.reconciled_value, both.want_value, rtol=1e-6) and np.allclose(both.reconciled_quantity, both.want_quantity, rtol=1e-6, equal_nan=True)
 
 
 def test_reallocation_adds_no_more_than_was_unspecified(spark):

@@ -56,8 +56,8 @@ def _measures(layout: Layout) -> Mapping[str, Column]:
 NAMES = ("HHI", "CDI2", "CDI3")
 
 
-def cells(observations: DataFrame, layout: Layout = COMEXT) -> DataFrame:
-    """One row a cell: ``_squares`` of single partners, ``_total`` and ``_outside`` as declared, ``_sold`` of the export cell."""
+def cells(observations: DataFrame, layout: Layout = COMEXT, sold: bool = True) -> DataFrame:
+    """One row a cell: ``_squares`` of single partners, ``_total`` and ``_outside`` as declared; ``_sold`` of the export cell, if asked for."""
     if lack := [c for c in layout.columns() if c not in observations.columns]:
         raise ValueError(f"missing columns {lack}; there are {observations.columns}")
     v, partner = F.col(layout.value), F.col(layout.partner)
@@ -68,17 +68,19 @@ def cells(observations: DataFrame, layout: Layout = COMEXT) -> DataFrame:
         F.max(F.when(partner == layout.everyone, v)).alias("_total"),
         F.max(F.when(partner == layout.outside, v)).alias("_outside"),
     )
+    if not sold:
+        return sums
     beside = [c for c in layout.cell if c != layout.flow]
-    sold = sums.where(F.col(layout.flow) == layout.outward).select(*beside, F.col("_total").alias("_sold"))
-    return sums.join(sold, beside, "left")
+    exports = sums.where(F.col(layout.flow) == layout.outward).select(*beside, F.col("_total").alias("_sold"))
+    return sums.join(exports, beside, "left")
 
 
-def indicators(observations: DataFrame, names: Sequence[str] = NAMES, layout: Layout = COMEXT) -> DataFrame:
-    """All cells with a column for each named indicator."""
-    known = _measures(layout)
+def indicators(observations: DataFrame, names: Sequence[str] = NAMES, layout: Layout = COMEXT, more: Mapping[str, Column] | None = None) -> DataFrame:
+    """All cells with a column for each named indicator; ``more`` are further ones over the sums of ``cells``."""
+    known = {**_measures(layout), **(more or {})}
     if unknown := [n for n in names if n not in known]:
         raise ValueError(f"unknown indicators {unknown}; there are {list(known)}")
-    return cells(observations, layout).select(*layout.cell, *(known[n].alias(n) for n in names))
+    return cells(observations, layout, "CDI3" in names or bool(more)).select(*layout.cell, *(known[n].alias(n) for n in names))
 
 
 def indicator(observations: DataFrame, name: str, layout: Layout = COMEXT) -> DataFrame:

@@ -131,6 +131,12 @@ for _name in indicators.NAMES:
     _one_indicator(_name)
 
 
+@query("vuln_hhi_onepass", ORACLES["vuln_hhi"])
+def vuln_hhi_onepass(spark, sf):
+    """HHI of every cell by one aggregation, without a join."""
+    return _rounded(indicators.indicators(cw.observations(spark, sf), ["HHI"]))
+
+
 @query("vuln_incremental_pairs", f'WITH {_OBS}, stale AS (SELECT reporter, product FROM one GROUP BY ALL HAVING max(t) FILTER (WHERE v < 30000) IS NULL OR max(t) FILTER (WHERE v < 30000) < max(t)) SELECT {_CELL}, {_EACH} FROM out SEMI JOIN stale USING (reporter, product)')
 def vuln_incremental(spark, sf):
     """Indicators of the stale (reporter, product) pairs: small trade stands for what was computed, all for downloads."""

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewinds.functions.exprs import floored
 from tradewinds.operators import estimation, indicators, reconcile
 from tradewinds.operators.indicators import COMEXT, Layout
 from tradewinds.scratch import written
@@ -71,7 +72,7 @@ def stale_indicators(lake: Lake, source: str, target: str, downloads: str, log:
 def mean_freight(flows: DataFrame) -> tuple[float | None, float | None]:
     """The mean of the freight rates that there are, and that with negative rates as 0."""
     rate = F.when(~F.isnan("tau") & (F.abs("tau") < F.lit(float("inf"))), F.col("tau"))
-    return tuple(flows.agg(F.avg(rate), F.avg(F.greatest(rate, F.lit(0.0)))).first())
+    return tuple(flows.agg(F.avg(rate), F.avg(floored(rate))).first())
 
 
 def reconciliation(declarations: DataFrame, countries: DataFrame, dist: DataFrame, geo: DataFrame, config: reconcile.ReconcileConfig, sigma: Callable[[DataFrame], pd.DataFrame] = estimation.fit_quality) -> tuple[DataFrame, DataFrame]:
